@@ -1,9 +1,9 @@
 """Ordered scans that stay bounded when one group holds much of the data.
 
-A window over ``(group)`` puts the whole group into one task. Here a group that a frequent-items
-sketch finds to be large is cut along its order into blocks; the window runs per ``(group, block)``
-and a small table with one row per block carries counts, sums, maxima and edge rows across the cuts.
-Groups of ordinary size keep one block, so for them the plan is the plain window.
+A window over ``(group)`` puts the whole group into one task. A frequent-items sketch first names the
+groups that are too large for that (usually none, and then the plan is the plain window). Those are
+cut along their order into blocks; the window runs per ``(group, block)``, and a small table with one
+row per block carries counts, sums, maxima and edge rows across the cuts.
 """
 
 from __future__ import annotations
@@ -25,27 +25,13 @@ BROADCAST_ROWS = 200_000
 BLK = "_blk"
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> DataFrame:
-    """Groups of ``key`` with about ``max_rows`` rows or more: at most ``MAX_HOT`` rows.
+def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> list:
+    """Groups of ``key`` with about ``max_rows`` rows or more: at most ``MAX_HOT`` values.
 
     An estimate is enough: a group missed or listed wrongly changes the cuts, not the result.
     """
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {TRACKED_ITEMS})").alias("top"))
-    item = top.select(F.explode("top").alias("t"))
-    return item.filter(F.col("t.count") >= max_rows).select(F.col("t.item").alias(key))
-
-
-def blocked(
-    df: DataFrame, key: str, block: Column, hot: DataFrame | None = None, max_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Add the block column; also return the hot list that was used."""
-    hot = hot_keys(df, key, max_rows) if hot is None else hot
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    return (
-        flagged.withColumn(BLK, F.when(F.col("_hot"), block.cast("long")).otherwise(F.lit(0)))
-        .drop("_hot"),
-        hot,
-    )
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {TRACKED_ITEMS})").alias("top")).first()["top"]
+    return [t["item"] for t in top or [] if t["count"] >= max_rows and t["item"] is not None]
 
 
 def ordered_scan(
@@ -59,35 +45,43 @@ def ordered_scan(
     max_before: dict[str, str] | None = None,
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
-    hot: DataFrame | None = None,
-    max_rows: int = HOT_ROWS,
-    keep_block: bool = False,
+    hot: list | None = None,
 ) -> DataFrame:
     """Row number, exclusive running sum / maximum, and neighbours over ``key`` in ``order``.
 
-    The dicts map an output column to its input column. ``block`` must not decrease along ``order``.
-    With ``keep_block`` the cuts stay in the result, and a second scan over it needs no new shuffle.
+    The dicts map an output column to its input column. ``hot`` lists the groups to cut (looked up
+    when None); ``block`` says where, and must not decrease along ``order``.
     """
     sums, maxs, lags, leads = sum_before or {}, max_before or {}, lag or {}, lead or {}
-    hot = hot_keys(df, key, max_rows) if hot is None else hot
-    reuse = BLK in df.columns
-    parts = df if reuse else blocked(df, key, block, hot)[0]
+    hot = hot_keys(df, key) if hot is None else hot
+    parts, keys = df, [key]
+    if hot:
+        cut_at = F.when(F.col(key).isin(*hot), block.cast("long")).otherwise(F.lit(0))
+        parts, keys = df.withColumn(BLK, cut_at), [key, BLK]
+
+    w = Window.partitionBy(*keys).orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    local: dict[str, Column] = {row_number: F.row_number().over(w)} if row_number else {}
+    local |= {o: F.coalesce(F.sum(c).over(before), F.lit(0)) for o, c in sums.items()}
+    local |= {o: F.max(c).over(before) for o, c in maxs.items()}
+    if not hot:
+        local |= {o: F.lag(c).over(w) for o, c in lags.items()}
+        local |= {o: F.lead(c).over(w) for o, c in leads.items()}
+        return parts.withColumns(local)
+    # A struct tells a missing neighbour from a neighbour that holds NULL.
+    local |= {o: F.lag(F.struct(c)).over(w) for o, c in lags.items()}
+    local |= {o: F.lead(F.struct(c)).over(w) for o, c in leads.items()}
 
-    per_block = [F.count(F.lit(1)).alias("_n")]
     rank = F.struct(*order)
+    per_block = [F.count(F.lit(1)).alias("_n")]
     per_block += [F.sum(c).alias(f"_s_{o}") for o, c in sums.items()]
     per_block += [F.max(c).alias(f"_m_{o}") for o, c in maxs.items()]
     per_block += [F.max_by(F.struct(c), rank).alias(f"_l_{o}") for o, c in lags.items()]
     per_block += [F.min_by(F.struct(c), rank).alias(f"_f_{o}") for o, c in leads.items()]
-    cut = (
-        df.join(F.broadcast(hot), key, "left_semi")
-        .withColumn(BLK, F.col(BLK) if reuse else block.cast("long"))
-        .groupBy(key, BLK)
-        .agg(*per_block)
-    )
+    blocks = parts.filter(F.col(key).isin(*hot)).groupBy(*keys).agg(*per_block)
     by_block = Window.partitionBy(key).orderBy(BLK)
     earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    carry = cut.select(
+    carry = blocks.select(
         key,
         BLK,
         F.sum("_n").over(earlier).alias("_c_n"),
@@ -96,30 +90,21 @@ def ordered_scan(
         *[F.lag(f"_l_{o}").over(by_block).alias(f"_c_{o}") for o in lags],
         *[F.lead(f"_f_{o}").over(by_block).alias(f"_c_{o}") for o in leads],
     )
-
-    w = Window.partitionBy(key, BLK).orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = {"_rn": F.row_number().over(w)} if row_number else {}
-    local |= {o: F.sum(c).over(before) for o, c in sums.items()}
-    local |= {o: F.max(c).over(before) for o, c in maxs.items()}
-    local |= {o: F.lag(F.struct(c)).over(w) for o, c in lags.items()}
-    local |= {o: F.lead(F.struct(c)).over(w) for o, c in leads.items()}
-    out = parts.withColumns(local).join(carry, [key, BLK], "left")
+    # One row per block, written out so that chained scans do not repeat each other's plans.
+    ensure_checkpoint_dir(df.sparkSession)
+    out = parts.withColumns(local).join(carry.checkpoint(), keys, "left")
 
     final: dict[str, Column] = {}
     if row_number:
-        final[row_number] = F.col("_rn") + F.coalesce(F.col("_c_n"), F.lit(0))
+        final[row_number] = F.col(row_number) + F.coalesce(F.col("_c_n"), F.lit(0))
     for o in sums:
-        final[o] = F.coalesce(F.col(o), F.lit(0)) + F.coalesce(F.col(f"_c_{o}"), F.lit(0))
+        final[o] = F.col(o) + F.coalesce(F.col(f"_c_{o}"), F.lit(0))
     for o in maxs:
         final[o] = F.greatest(F.col(o), F.col(f"_c_{o}"))
     for o, c in [*lags.items(), *leads.items()]:
         final[o] = F.coalesce(F.col(o), F.col(f"_c_{o}"))[c]
-    kept = [BLK] if keep_block and not reuse else []
-    dropped = {BLK} if reuse and not keep_block else set()
-    return out.withColumns(final).select(
-        *[c for c in df.columns if c not in dropped], *kept, *final
-    )
+    names = [*([row_number] if row_number else []), *sums, *maxs, *lags, *leads]
+    return out.withColumns(final).select(*df.columns, *names)
 
 
 def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
@@ -223,3 +208,43 @@ def exact_percentiles(df: DataFrame, column: str, ps: list[float], accuracy: int
         a, b = found[i]["a"], found[i]["b"]
         out.append(a + (b - a) * (h - int(h)))
     return {"n": n, "min": sketch["lo"], "max": sketch["hi"], "values": out}
+
+
+def with_halo(
+    df: DataFrame, index: str, block_rows: int, before: int = 0, after: int = 0
+) -> DataFrame:
+    """Cut dense positions into blocks, with copies of the rows around each cut.
+
+    ``before`` / ``after`` say how many earlier / later positions a row has to see. Adds the block
+    and ``_own``; windows over (key, block) are then exact for the rows where ``_own`` holds.
+    """
+    own = F.floor(F.col(index) / block_rows)
+    low = F.floor((F.col(index) - after) / block_rows)
+    high = F.floor((F.col(index) + before) / block_rows)
+    return (
+        df.withColumn(BLK, F.explode(F.sequence(low, high)))
+        .withColumn("_own", F.col(BLK) == own)
+    )
+
+
+def interval_join(
+    left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[Column, Column],
+    right_span: tuple[Column, Column], width: float, how: str = "inner",
+) -> DataFrame:
+    """Pairs whose [lo, hi] spans touch, as an equi-join on (keys, time bin).
+
+    Both sides are listed under every bin they touch; a pair is kept in the first common bin only.
+    Long groups spread over many bins, so no task sees all pairs of a group.
+    """
+    def binned(df, span, tag):
+        lo, hi = span
+        first = F.floor(lo / width)
+        return df.withColumns({f"_{tag}lo": lo, f"_{tag}hi": hi, f"_{tag}first": first}).withColumn(
+            "_bin", F.explode(F.sequence(first, F.floor(hi / width)))
+        )
+
+    a, b = binned(left, left_span, "a"), binned(right, right_span, "b")
+    touch = (F.col("_alo") <= F.col("_bhi")) & (F.col("_blo") <= F.col("_ahi"))
+    once = F.col("_bin") == F.greatest("_afirst", "_bfirst")
+    scratch = ["_bin", "_alo", "_ahi", "_afirst", "_blo", "_bhi", "_bfirst"]
+    return a.join(b, [*keys, "_bin"]).filter(touch & once).drop(*scratch)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noteflow.operators.folds import sorted_fold
-from noteflow.operators.scan import BLK, exact_percentiles, ordered_scan
+from noteflow.operators.scan import exact_percentiles, ordered_scan
 
 #: Two notes may touch or overlap by this much, in seconds.
 OVERLAP_SLACK_S = 1e-9
@@ -43,14 +43,14 @@ def note_rejects(notes: DataFrame) -> DataFrame:
     return notes.withColumn("reason", reject_reason()).filter("reason IS NOT NULL")
 
 
-def sort_notes(notes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def sort_notes(notes: DataFrame, hot: list | None = None) -> DataFrame:
     """Number the notes of a score by (onset, offset); the input position breaks ties."""
     order = ["onset_s", "offset_s", "note_idx"]
     ranked = ordered_scan(notes, "score_id", order, time_block(), row_number="_rank", hot=hot)
     return ranked.withColumn("note_idx", (F.col("_rank") - 1).cast("int")).drop("_rank")
 
 
-def next_onset(notes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def next_onset(notes: DataFrame, hot: list | None = None) -> DataFrame:
     """Adds ``next_onset_s``: infinity for the last note."""
     out = ordered_scan(
         notes, "score_id", ["onset_s", "note_idx"], time_block(),
@@ -59,7 +59,7 @@ def next_onset(notes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return out.withColumn("next_onset_s", F.coalesce("next_onset_s", F.lit(float("inf"))))
 
 
-def monophony(notes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def monophony(notes: DataFrame, hot: list | None = None) -> DataFrame:
     """Per score: does every note end before the next begins, and how many pairs do not."""
     gap_ok = F.col("offset_s") <= F.col("next_onset_s") + OVERLAP_SLACK_S
     overlap = F.col("next_onset_s") + OVERLAP_SLACK_S < F.col("offset_s")
@@ -140,22 +140,21 @@ def octave_centre(notes: DataFrame, lo: int = 55, hi: int = 79, keys: list[str]
 # --- phrases ---------------------------------------------------------------------------------
 
 
-def rest_split(notes: DataFrame, gap_s: float = 0.4, hot: DataFrame | None = None, keep_block: bool = False) -> DataFrame:
+def rest_split(notes: DataFrame, gap_s: float = 0.4, hot: list | None = None) -> DataFrame:
     """Adds ``rest_group``: index of the last note that followed a rest of ``gap_s`` or more."""
     order = ["onset_s", "note_idx"]
     prev = ordered_scan(
-        notes, "score_id", order, time_block(), lag={"_prev": "offset_s"}, hot=hot, keep_block=True
+        notes, "score_id", order, time_block(), lag={"_prev": "offset_s"}, hot=hot
     )
     starts = F.col("_prev").isNull() | (F.col("onset_s") - F.col("_prev") >= gap_s)
     marked = prev.withColumn("_start", F.when(starts, F.col("note_idx")))
     out = ordered_scan(
         marked, "score_id", order, time_block(), max_before={"_open": "_start"}, hot=hot,
-        keep_block=keep_block,
     )
     return out.withColumn("rest_group", F.coalesce("_start", "_open")).drop("_prev", "_start", "_open")
 
 
-def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0, hot: DataFrame | None = None) -> DataFrame:
+def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0, hot: list | None = None) -> DataFrame:
     """Adds ``phrase_start``: index of the first note of the phrase, cut at rests and at the cap.
 
     A rest resets the running phrase start, so the fold is keyed by the rest group.
@@ -183,7 +182,7 @@ def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0
 def segment_phrases(
     notes: DataFrame, *, gap_s: float = 0.4, max_phrase_s: float = 12.0, min_notes: int = 4,
     min_phrase_s: float = 1.0, lo: int = 55, hi: int = 79, max_out_of_range_frac: float = 0.2,
-    hot: DataFrame | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Octave-centred phrases, re-zeroed to 0.2 s, numbered over the kept phrases of a score."""
     key = ["score_id", "phrase_start"]
@@ -247,12 +246,12 @@ def pick_melody_track(events: DataFrame) -> DataFrame:
     )
 
 
-def sounding_islands(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def sounding_islands(events: DataFrame, hot: list | None = None) -> DataFrame:
     """Adds ``island``: start time of the stretch without silence that an event belongs to."""
     order = ["start_s", "neg_pitch", "track", "end_s"]
     ev = events.withColumn("neg_pitch", -F.col("pitch"))
     held = ordered_scan(
-        ev, "song_id", order, time_block("start_s"), max_before={"_held": "end_s"}, hot=hot, keep_block=True
+        ev, "song_id", order, time_block("start_s"), max_before={"_held": "end_s"}, hot=hot
     )
     opens = F.col("_held").isNull() | (F.col("start_s") >= F.col("_held"))
     marked = held.withColumn("_open", F.when(opens, F.col("start_s")))
@@ -260,7 +259,7 @@ def sounding_islands(events: DataFrame, hot: DataFrame | None = None) -> DataFra
     return out.withColumn("island", F.coalesce("_open", "_last")).drop("_held", "_open", "_last")
 
 
-def skyline(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def skyline(events: DataFrame, hot: list | None = None) -> DataFrame:
     """Top line: a higher note cuts the held lower one short, a lower note under it is hidden.
 
     Remnants of a millisecond or less vanish. The fold only decides which events enter the line; an
@@ -301,7 +300,7 @@ def singable(pitch: Column, length_s: Column, lo: int = 55, hi: int = 79, min_no
 
 
 def melody_lines(events: DataFrame, *, lo: int = 55, hi: int = 79, min_note_s: float = 0.08,
-                 hot: DataFrame | None = None) -> DataFrame:
+                 hot: list | None = None) -> DataFrame:
     """Reduced, octave-centred line of every song with the drop reason of each note."""
     line = skyline(pick_melody_track(events), hot)
     shifts = upper_median(line, ["song_id"], "pitch").select(

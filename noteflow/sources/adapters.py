@@ -43,22 +43,21 @@ class Tables:
 
     # --- notes ---------------------------------------------------------------------------
 
+    def _hot(self, key: str, prefix: str = "s") -> list:
+        """The sketch runs over the raw key; ids are made from what it finds."""
+        return [f"{prefix}{k}" for k in hot_keys(self.raw("lineitem").select(key), key)]
+
     @cached_property
-    def hot_scores(self) -> DataFrame:
+    def hot_scores(self) -> list:
         return self._hot("l_orderkey")
 
     @cached_property
-    def hot_long(self) -> DataFrame:
+    def hot_long(self) -> list:
         return self._hot("l_suppkey")
 
     @cached_property
-    def hot_songs(self) -> DataFrame:
-        return self._hot("l_orderkey", "m", "song_id")
-
-    def _hot(self, key: str, prefix: str = "s", name: str = "score_id") -> DataFrame:
-        """The sketch runs over the raw key; ids are made from what it finds."""
-        top = hot_keys(self.raw("lineitem").select(key), key)
-        return top.select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias(name))
+    def hot_songs(self) -> list:
+        return ["m" + s[1:] for s in self.hot_scores]
 
     def note_rows(self, key: str = "l_orderkey", gaps: tuple = GAPS) -> DataFrame:
         other = "l_suppkey" if key == "l_orderkey" else "l_orderkey"
