@@ -84,7 +84,7 @@ def derive_seed(master: int | Column, *parts: ColumnLike | int) -> Column:
     cols += [(F.lit(str(p)) if isinstance(p, int) else _c(p)).cast("string") for p in parts]
     digest = F.sha2(F.concat_ws(UNIT_SEP, *cols), 256)
     unsigned = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
-    return (unsigned % F.lit(2**63).cast("decimal(20,0)")).cast("long")
+    return (unsigned % F.lit(str(2**63)).cast("decimal(20,0)")).cast("long")
 
 
 def uniform(master: int | Column, *parts: ColumnLike | int) -> Column:

@@ -248,3 +248,11 @@ def interval_join(
     once = F.col("_bin") == F.greatest("_afirst", "_bfirst")
     scratch = ["_bin", "_alo", "_ahi", "_afirst", "_blo", "_bhi", "_bfirst"]
     return a.join(b, [*keys, "_bin"]).filter(touch & once).drop(*scratch)
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row tables side by side, by a union and a maximum per column."""
+    out = frames[0]
+    for other in frames[1:]:
+        out = out.unionByName(other, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noteflow.operators.folds import sorted_fold
-from noteflow.operators.scan import exact_percentiles, ordered_scan
+from noteflow.operators.scan import exact_percentiles, one_row, ordered_scan
 
 #: Two notes may touch or overlap by this much, in seconds.
 OVERLAP_SLACK_S = 1e-9
@@ -375,7 +375,7 @@ def ingest_report(notes_in: DataFrame, phrases: DataFrame) -> DataFrame:
     a = notes_in.agg(F.count_distinct("score_id").alias("songs"), F.count(F.lit(1)).alias("notes_in"))
     b = phrases.agg(F.count_distinct("score_id").alias("phrases"), F.count(F.lit(1)).alias("notes_out"))
     ratio = lambda x, y, d: F.when(F.col(y) > 0, F.bround(F.col(x) / F.col(y), d)).otherwise(0.0)
-    return a.join(b).select(  # one row each
+    return one_row(a, b).select(
         "songs", "phrases", ratio("phrases", "songs", 1).alias("phrases_per_song"), "notes_in",
         "notes_out", ratio("notes_out", "notes_in", 3).alias("note_retention"),
     )

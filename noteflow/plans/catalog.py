@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scores", "gate")
+MODULES = ("scores", "gate", "functions", "arrays", "corpus")
 
 
 def load() -> None:

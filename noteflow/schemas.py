@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 NOTE = "score_id string, note_idx int, onset_s double, offset_s double, pitch_midi int, lyric string"
 FRAME = "sample_id string, frame_idx bigint, t_s double, f0_hz double, voiced boolean"
 RMS_FRAME = "sample_id string, frame_idx bigint, t_s double, rms double"
@@ -19,7 +17,7 @@ ACCOMPANIMENT = (
     "takes_tried:int,max_note_shift_ms:double,free_time:boolean,target_instrument:string,"
     "stem_available:boolean>"
 )
-MANIFEST = T.StructType.fromDDL(
+MANIFEST = (
     "sample_id string, score_id string, score_path string, audio_path string, lane string, "
     "voice_id string, augmentation_profile string, seed bigint, voice_license string, "
     f"consent_verified boolean, config_hash string, verdict {VERDICT}, lyric_source string, "

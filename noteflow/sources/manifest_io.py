@@ -50,7 +50,7 @@ def nest_manifest(flat: DataFrame) -> DataFrame:
 
 def parse_manifest(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON text to manifest rows; blank lines are skipped, unreadable ones keep their text."""
-    schema = T.StructType(MANIFEST.fields + [T.StructField(CORRUPT, T.StringType())])
+    schema = f"{MANIFEST}, {CORRUPT} string"
     text = lines.filter(F.trim(F.col(column)) != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return text.withColumn("_r", F.from_json(column, schema, options)).select("_r.*")
@@ -73,7 +73,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def append_manifest(df: DataFrame, path: str) -> None:
     """One JSON object per attempted sample; earlier files are never rewritten."""
-    df.select(*[c for c in MANIFEST.fieldNames() if c in df.columns]).write.mode("append").json(path)
+    df.select(*[c for c in T.StructType.fromDDL(MANIFEST).fieldNames() if c in df.columns]).write.mode("append").json(path)
 
 
 def read_sidecar(spark: SparkSession, path: str) -> DataFrame:

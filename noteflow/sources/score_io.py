@@ -151,10 +151,14 @@ def write_corpus(records: DataFrame, path: str) -> None:
     corpus_layout(records).write.mode("append").partitionBy("tree", "axis", "shard").json(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
+def report_lines(report: DataFrame) -> DataFrame:
     """Report rows as JSON text with sorted keys."""
     cols = sorted(report.columns)
-    report.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+    return report.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    report_lines(report).write.mode("overwrite").text(path)
 
 
 def read_projected_parquet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
