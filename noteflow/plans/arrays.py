@@ -164,10 +164,11 @@ def _(t: Tables):
     return R.context_chunks(lengths(t), 4000, 512).drop("n_samples")
 
 
-@query("stitch_chunks", "SELECT song_id, frame, count(*) AS cells, round(sum(onset_p), 5) AS onset_p FROM @posteriors WHERE frame < 200 GROUP BY song_id, frame")
+@query("stitch_chunks", "SELECT song_id, frame, count(*) AS cells, round(sum(onset_p), 5) AS onset_p FROM @posteriors GROUP BY song_id, frame")
 def _(t: Tables):
     step, ctx = 64, 8
-    p = t.posteriors.withColumn("n_frames", F.lit(200))
+    p = t.posteriors
+    p = p.join(D.song_ends(p), "song_id")
     # Every frame is seen by its own window and, near a border, as context of the next one.
     own = F.floor(F.col("frame") / step)
     seen = F.array_distinct(F.array(F.floor((F.col("frame") - ctx) / step), own, F.floor((F.col("frame") + ctx) / step)))

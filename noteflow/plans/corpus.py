@@ -277,28 +277,30 @@ def _(t: Tables):
 
 # --- work ------------------------------------------------------------------------------------
 
-VIEWS["lane_voices"] = """SELECT voice_id, CASE kind WHEN 'deterministic_donor' THEN 'deterministic' WHEN 'svs_voicebank' THEN 'svs' END AS lane FROM @voices WHERE kind <> 'voice_conversion' AND CAST(substr(voice_id, 2) AS BIGINT) < 10"""
+VIEWS["lane_voices"] = """SELECT voice_id, CASE kind WHEN 'deterministic_donor' THEN 'deterministic' WHEN 'svs_voicebank' THEN 'svs' END AS lane FROM @voices WHERE kind <> 'voice_conversion'"""
 VIEWS["work"] = f"""
 SELECT sample_id, score_id, voice_id, lane, {seed_sql("'11'", 'score_id', 'voice_id', 'lane')} AS seed FROM (SELECT score_id, voice_id, lane, score_id || '_singer_' || voice_id || CASE WHEN lane = 'deterministic' THEN '' ELSE '_' || lane END AS sample_id FROM @scores, @lane_voices)"""
 
 
 def work(t: Tables):
-    """Every score with the voices of a small cast; the voice table itself is the roster of a run."""
-    cast = t.voices.filter(F.substring("voice_id", 2, 20).cast("long") < 10)
-    return W.work_list(t.scores.select("score_id"), cast, ["deterministic", "svs"], 11)
+    return W.work_list(t.scores.select("score_id"), t.voices, ["deterministic", "svs"], 11)
 
 
-@query("work_list", "SELECT * FROM @work")
+@query("work_list", "SELECT lane, voice_id, count(*) AS n, min(sample_id) AS first, max(sample_id) AS last, sum(seed % 1000003)::BIGINT AS seeds FROM @work GROUP BY lane, voice_id")
 def _(t: Tables):
-    return work(t).select("sample_id", "score_id", "voice_id", "lane", "seed")
+    """The whole list, condensed per lane and voice."""
+    return work(t).groupBy("lane", "voice_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("first"), F.max("sample_id").alias("last"), F.sum(F.col("seed") % 1000003).alias("seeds")
+    )
 
 
-@query("resume_pending", "SELECT sample_id FROM @work WHERE score_id NOT IN (SELECT 's' || o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+@query("resume_pending", "SELECT score_id, count(*) AS pending, min(sample_id) AS first FROM @work WHERE score_id NOT IN (SELECT 's' || o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY score_id")
 def _(t: Tables):
     w = work(t)
     finished = t.raw("orders").filter("o_orderstatus = 'F'").select(F.concat(F.lit("s"), F.col("o_orderkey").cast("string")).alias("score_id"))
     done = w.join(finished, "score_id", "left_semi").select("sample_id")
-    return W.resume_pending(w.select("sample_id"), done)
+    left = W.resume_pending(w.select("sample_id", "score_id"), done)
+    return left.groupBy("score_id").agg(F.count(F.lit(1)).alias("pending"), F.min("sample_id").alias("first"))
 
 
 @query("consent_gate", "SELECT sample_id, CASE WHEN v.voice_id IS NULL THEN 'missing' WHEN v.consent_verified THEN 'usable' ELSE 'license_refused' END AS gate, license AS voice_license FROM @manifest m LEFT JOIN @voices v USING (voice_id)")
