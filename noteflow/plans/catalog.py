@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scores", "gate", "functions", "arrays", "corpus", "variants", "lyrics", "metrics")
+MODULES = ("scores", "gate", "functions", "arrays", "corpus", "variants", "lyrics", "metrics", "streams")
 
 
 def load() -> None:

@@ -36,7 +36,6 @@ def _(t: Tables):
     return X.note_prf(t.ref_notes, t.est_notes, X.match_notes(candidates(t), hot=t.hot_scores))
 
 
-# Where notes of one song stand clear of each other, every pair has no rival and SQL can count them.
 @query(
     "note_prf_totals",
     """SELECT count(*) AS songs, sum(n_ref)::BIGINT AS n_ref, sum(n_est)::BIGINT AS n_est FROM (SELECT song_id, count(*) AS n_ref FROM @ref_notes GROUP BY song_id) LEFT JOIN (SELECT song_id, count(*) AS n_est FROM @est_notes GROUP BY song_id) USING (song_id)""",

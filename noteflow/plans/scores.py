@@ -280,7 +280,7 @@ def _(t: Tables):
 
 @query(
     "ingest_report",
-    """SELECT a.songs, b.phrases, round(b.phrases / a.songs, 1) AS phrases_per_song, a.notes_in, b.notes_out, round(b.notes_out / a.notes_in, 3) AS note_retention
+    """SELECT a.songs, b.phrases, round_even(b.phrases / a.songs, 1) AS phrases_per_song, a.notes_in, b.notes_out, round_even(b.notes_out / a.notes_in, 3) AS note_retention
     FROM (SELECT count(DISTINCT score_id) AS songs, count(*) AS notes_in FROM @long_notes) a, (SELECT count(DISTINCT score_id) AS phrases, count(*) AS notes_out FROM @phrases) b""",
 )
 def _(t: Tables):
