@@ -83,8 +83,10 @@ def derive_seed(master: int | Column, *parts: ColumnLike | int) -> Column:
     cols = [first.cast("string")]
     cols += [(F.lit(str(p)) if isinstance(p, int) else _c(p)).cast("string") for p in parts]
     digest = F.sha2(F.concat_ws(UNIT_SEP, *cols), 256)
-    unsigned = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
-    return (unsigned % F.lit(str(2**63)).cast("decimal(20,0)")).cast("long")
+    # 60 bits from fifteen digits, three more from the first digit: no step leaves 64-bit integers.
+    low = F.conv(F.substring(digest, 2, 15), 16, 10).cast("long")
+    top = F.pmod(F.ascii(digest) - F.when(F.ascii(digest) > 57, 87).otherwise(48), F.lit(8))
+    return low + F.shiftleft(top.cast("long"), 60)
 
 
 def uniform(master: int | Column, *parts: ColumnLike | int) -> Column:

@@ -161,7 +161,7 @@ def exact_percentiles(df: DataFrame, column: str, ps: list[float], accuracy: int
     values inside the brackets are then ordered, so no task sees the whole column.
     """
     x = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    eps = 2.0 / accuracy
+    eps = 4.0 / accuracy
     cuts = [min(1.0, max(0.0, q)) for p in ps for q in (p - eps, p + eps)]
     sketch = x.agg(
         F.count("x").alias("n"),
@@ -175,8 +175,9 @@ def exact_percentiles(df: DataFrame, column: str, ps: list[float], accuracy: int
     out = []
     spans = []
     for i, p in enumerate(ps):
-        lo = sketch["lo"] if p - eps <= 0 else sketch["q"][2 * i]
-        hi = sketch["hi"] if p + eps >= 1 else sketch["q"][2 * i + 1]
+        # Up to ``accuracy`` rows can all be ordered; beyond that the bracket holds both ranks.
+        lo = sketch["lo"] if n <= accuracy or p - eps <= 0 else sketch["q"][2 * i]
+        hi = sketch["hi"] if n <= accuracy or p + eps >= 1 else sketch["q"][2 * i + 1]
         spans.append((lo, hi))
     inside = F.lit(False)
     for lo, hi in spans:
@@ -184,7 +185,7 @@ def exact_percentiles(df: DataFrame, column: str, ps: list[float], accuracy: int
     below = x.agg(*[F.count_if(F.col("x") < lo).alias(f"b{i}") for i, (lo, _) in enumerate(spans)])
     below = below.first()
     counts = x.filter(inside).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    # The brackets hold about 4n/accuracy rows, as distinct values.
+    # The brackets hold at most about 10n/accuracy rows, as distinct values.
     pick = []
     for i, (p, (lo, hi)) in enumerate(zip(ps, spans)):
         h = (n - 1) * p
