@@ -19,7 +19,7 @@ SNR_FLOOR_DB = 0.0
 CLIP_PEAK = 1.0 + 1e-6
 
 #: Width of the time bins on which notes and frames meet, in frames.
-BIN_FRAMES = 64
+BIN_FRAMES = 32
 FRAME_S = 0.02
 
 
@@ -43,19 +43,27 @@ def note_windows(notes: DataFrame, hot: list | None = None) -> DataFrame:
 
 
 def neighbour_frames(frames: DataFrame, bin_frames: int = BIN_FRAMES) -> DataFrame:
-    """Frames by time bin, each with its neighbours' measurement; the bin is the block column."""
+    """Frames by time bin with their pitch in cents and that of both neighbours.
+
+    The logarithm is taken once per frame; against a note it is then a subtraction. The pitch is
+    NULL where a frame is unvoiced. The bin is the block column.
+    """
+    level = F.when(F.col("voiced"), cents("f0_hz", F.lit(440.0)))
+    slim = frames.select("sample_id", "frame_idx", "t_s", level.alias("cents"))
     w = Window.partitionBy("sample_id", BLK).orderBy("frame_idx")
     look = {}
     for name, fn in (("prev", F.lag), ("next", F.lead)):
-        look[f"{name}_f0"] = fn("f0_hz").over(w)
-        look[f"{name}_voiced"] = fn("voiced").over(w)
+        look[f"{name}_cents"] = fn("cents").over(w)
         look[f"has_{name}"] = fn("frame_idx").over(w).isNotNull()
-    return with_halo(frames, "frame_idx", bin_frames, before=1, after=1).withColumns(look).filter("_own").drop("_own")
+    return with_halo(slim, "frame_idx", bin_frames, before=1, after=1).withColumns(look).filter("_own").drop("_own")
+
+
+def _in_tune(level: str, tol: float = F0_CENTS) -> Column:
+    return F.coalesce(F.abs(F.col(level) - F.col("ref_cents")) <= tol, F.lit(False))
 
 
-def _in_tune(f0: str, voiced: str, tol: float = F0_CENTS) -> Column:
-    off = F.abs(cents(f0, F.col("f_ref")))
-    return F.coalesce(F.col(voiced) & (off <= tol), F.lit(False))
+def _ref_cents() -> Column:
+    return (F.col("pitch_midi") - 69) * 100.0
 
 
 def note_frame_join(notes: DataFrame, frames: DataFrame, hot: list | None = None) -> DataFrame:
@@ -69,7 +77,8 @@ def _note_bins(
 ) -> DataFrame:
     """Left join of notes and frames on (sample, time bin), frame ``k`` lying at ``k * frame_s``.
 
-    A note is listed in each bin it touches, a frame in one. The frames are already partitioned by
+    A note is listed in each bin it touches, a frame in one. The optimizer does not see how many rows
+    an explode makes, so the frames are kept from being broadcast. They are already partitioned by
     that key for the neighbour window, so they shuffle once. A note without frames stays.
     """
     width = bin_frames * frame_s
@@ -77,19 +86,17 @@ def _note_bins(
     lo = F.least("on_lo", "off_lo")
     hi = F.greatest("on_hi", "off_hi", "offset_s")
     bins = F.sequence(F.floor(F.greatest(lo, F.lit(0.0)) / width - 1e-6), F.floor(hi / width + 1e-6))
-    listed = wide.withColumns({"_lo": lo, "_hi": hi, "f_ref": midi_to_hz("pitch_midi")}).withColumn(
+    listed = wide.withColumns({"_lo": lo, "_hi": hi, "ref_cents": _ref_cents()}).withColumn(
         BLK, F.explode(bins)
     )
-    joined = listed.join(neighbour_frames(frames, bin_frames), ["sample_id", BLK], "left")
-    now = _in_tune("f0_hz", "voiced")
+    joined = listed.join(neighbour_frames(frames, bin_frames).hint("merge"), ["sample_id", BLK], "left")
     tuned = joined.withColumns({
-        "in_tune": now, "prev_tune": _in_tune("prev_f0", "prev_voiced"),
-        "next_tune": _in_tune("next_f0", "next_voiced"),
+        "in_tune": _in_tune("cents"), "prev_tune": _in_tune("prev_cents"), "next_tune": _in_tune("next_cents"),
     })
     return tuned.withColumns({
         "rising": F.col("in_tune") & F.coalesce(F.col("has_prev"), F.lit(False)) & ~F.col("prev_tune"),
         "falling": F.col("in_tune") & F.coalesce(F.col("has_next"), F.lit(False)) & ~F.col("next_tune"),
-    }).drop(BLK, "prev_f0", "prev_voiced", "next_f0", "next_voiced", "has_prev", "has_next", "prev_tune", "next_tune")
+    }).drop(BLK, "cents", "ref_cents", "prev_cents", "next_cents", "has_prev", "has_next", "prev_tune", "next_tune")
 
 
 def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, min_note_ms: float = 50.0) -> DataFrame:
@@ -228,8 +235,8 @@ def final_verdict(rows: DataFrame) -> DataFrame:
 
 def edges(frames: DataFrame, pitch: DataFrame) -> DataFrame:
     """Rising and falling in-tune edges of frames against one reference pitch per sample."""
-    near = neighbour_frames(frames).join(pitch, "sample_id").withColumn("f_ref", midi_to_hz("pitch_midi"))
-    now, prev, nxt = _in_tune("f0_hz", "voiced"), _in_tune("prev_f0", "prev_voiced"), _in_tune("next_f0", "next_voiced")
+    near = neighbour_frames(frames).join(pitch, "sample_id").withColumn("ref_cents", _ref_cents())
+    now, prev, nxt = _in_tune("cents"), _in_tune("prev_cents"), _in_tune("next_cents")
     return near.select(
         "sample_id", "frame_idx", (now & F.col("has_prev") & ~prev).alias("rising"), (now & F.col("has_next") & ~nxt).alias("falling")
     )
@@ -325,7 +332,7 @@ def refine_offsets(notes: DataFrame, frames: DataFrame, hot: list | None = None)
         F.col("sample_id").alias("score_id"), F.floor(F.col("t_s") / width).alias("_bin"), "t_s", "f0_hz"
     )
     hit = F.col("t_s").between(F.col("onset_s"), F.col("_hi")) & (F.abs(cents("f0_hz", F.col("f_ref"))) <= 100)
-    last = listed.join(f, ["score_id", "_bin"], "left").groupBy(
+    last = listed.join(f.hint("merge"), ["score_id", "_bin"], "left").groupBy(
         "score_id", "note_idx", "onset_s", "offset_s", "next_onset_s", "pitch_midi"
     ).agg(F.max(F.when(hit, F.col("t_s"))).alias("_t"))
     off = F.greatest(F.col("onset_s") + 0.03, F.coalesce("_t", "offset_s"))

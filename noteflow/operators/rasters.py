@@ -122,7 +122,7 @@ def median_pitch_correction(notes: DataFrame, frames: DataFrame, strength: float
         F.max_by(ratio, "note_idx").alias("_ratio")
     )
     return (
-        frames.join(owner.withColumnRenamed("score_id", "sample_id"), ["sample_id", "frame_idx"], "left")
+        frames.join(owner.withColumnRenamed("score_id", "sample_id").hint("merge"), ["sample_id", "frame_idx"], "left")
         .withColumn("f0_hz", F.when(F.col("_ratio").isNotNull(), F.col("f0_hz") * F.col("_ratio")).otherwise(F.col("f0_hz")))
         .drop("_ratio")
     )

@@ -84,7 +84,7 @@ def ordered_scan(
     carry = blocks.select(
         key,
         BLK,
-        F.sum("_n").over(earlier).alias("_c_n"),
+        F.sum("_n").over(earlier).alias("_rows_before"),
         *[F.sum(f"_s_{o}").over(earlier).alias(f"_c_{o}") for o in sums],
         *[F.max(f"_m_{o}").over(earlier).alias(f"_c_{o}") for o in maxs],
         *[F.lag(f"_l_{o}").over(by_block).alias(f"_c_{o}") for o in lags],
@@ -96,7 +96,7 @@ def ordered_scan(
 
     final: dict[str, Column] = {}
     if row_number:
-        final[row_number] = F.col(row_number) + F.coalesce(F.col("_c_n"), F.lit(0))
+        final[row_number] = F.col(row_number) + F.coalesce(F.col("_rows_before"), F.lit(0))
     for o in sums:
         final[o] = F.col(o) + F.coalesce(F.col(f"_c_{o}"), F.lit(0))
     for o in maxs:
@@ -235,7 +235,8 @@ def interval_join(
     """Pairs whose [lo, hi] spans touch, as an equi-join on (keys, time bin).
 
     Both sides are listed under every bin they touch; a pair is kept in the first common bin only.
-    Long groups spread over many bins, so no task sees all pairs of a group.
+    Long groups spread over many bins, so no task sees all pairs of a group. Exploded sides look small
+    to the optimizer, so neither is left to an automatic broadcast.
     """
     def binned(df, span, tag):
         lo, hi = span
@@ -248,7 +249,7 @@ def interval_join(
     touch = (F.col("_alo") <= F.col("_bhi")) & (F.col("_blo") <= F.col("_ahi"))
     once = F.col("_bin") == F.greatest("_afirst", "_bfirst")
     scratch = ["_bin", "_alo", "_ahi", "_afirst", "_blo", "_bhi", "_bfirst"]
-    return a.join(b, [*keys, "_bin"]).filter(touch & once).drop(*scratch)
+    return a.join(b.hint("merge"), [*keys, "_bin"]).filter(touch & once).drop(*scratch)
 
 
 def one_row(*frames: DataFrame) -> DataFrame:

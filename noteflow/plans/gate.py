@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import noteflow.plans.scores  # noqa: F401 - its views are used here
 from noteflow.operators import gate as G
 from noteflow.operators import scores as S
 from noteflow.plans.registry import query
