@@ -18,7 +18,7 @@ HEADLINE = (
     "gate_summary", "note_frame_join", "monophony", "learn_min_note_ms", "segment_phrases", "extract_melody",
     "expand_variants", "derive_labels", "refine_offsets", "criteria_core", "criteria_score_aug", "corpus_stats",
     "val_split", "merge_runs", "augment_fanout", "syllabify_en", "phonetic_coverage", "auto_syllables", "rasterize",
-    "match_candidates", "note_prf", "decode_poly", "decode_mono", "align_dtw", "stream_tally",
+    "match_candidates", "note_prf", "decode_poly", "align_dtw", "stream_tally",
 )
 
 

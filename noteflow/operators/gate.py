@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from noteflow.functions.scalar import cents, midi_to_hz
 from noteflow.operators.scan import BLK, ordered_scan, with_halo
 from noteflow.operators.scores import next_onset, time_block
+from noteflow.session import ensure_checkpoint_dir
 
 # Tolerances of the gate.
 ONSET_MS = 50.0
@@ -306,7 +307,9 @@ def pair_segments(notes: DataFrame, runs: DataFrame, frame_s: float, hot: list |
 def derive_labels(notes: DataFrame, rms: DataFrame, hop_s: float, group_delay_s: float = 0.0, hot: list | None = None) -> DataFrame:
     """Onset and offset of each note from its voiced run; a note without runs keeps its own."""
     frame_s = 2 * hop_s
-    runs = voiced_runs(rms, hot)
+    # One row per run, used three times below: written out once instead of measured three times.
+    ensure_checkpoint_dir(notes.sparkSession)
+    runs = voiced_runs(rms, hot).checkpoint()
     paired = notes.join(pair_segments(notes, runs, frame_s, hot), ["score_id", "note_idx"])
     onset = F.greatest(F.lit(0.0), F.col("t_first") - group_delay_s)
     offset = F.col("t_last") + frame_s - group_delay_s

@@ -252,6 +252,13 @@ def interval_join(
     return a.join(b.hint("merge"), [*keys, "_bin"]).filter(touch & once).drop(*scratch)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a plain file scan to all cores when its few files cannot do so."""
+    width = df.sparkSession.sparkContext.defaultParallelism
+    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if parts >= width else df.repartition(width)
+
+
 def one_row(*frames: DataFrame) -> DataFrame:
     """Columns of several one-row tables side by side, by a union and a maximum per column."""
     out = frames[0]

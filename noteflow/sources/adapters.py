@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteflow.operators.scan import hot_keys, ordered_scan
+from noteflow.operators.scan import hot_keys, ordered_scan, spread
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -309,7 +309,8 @@ class Tables:
 
     @property
     def documents(self) -> DataFrame:
-        return self.raw("documents")
+        # Few files of long texts; everything done to a text happens before the first shuffle.
+        return spread(self.raw("documents"))
 
     @property
     def clips(self) -> DataFrame:
