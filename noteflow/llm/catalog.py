@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noteflow.llm import exact_dedup, mixing, sharding
+from noteflow.llm import exact_dedup, language, mixing, packing, quality, sharding, token_counts
 from noteflow.llm.store import documents
 
 CONTRACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -18,7 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_quality": quality.quality_scores,
+    "op4_language": language.document_languages,
     "op5_sharding": sharding.shard_documents,
+    "op7_packing": packing.pack_table,
+    "op8_token_counts": token_counts.count_tokens,
     "op10_mixing": mixing.mix_documents,
 }
 ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
