@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from noteflow.llm import exact_dedup, language, mixing, packing, quality, sharding, token_counts
+from noteflow.llm import embedding_dedup, exact_dedup, language, mixing, near_dedup, packing, quality, sharding, token_counts
 from noteflow.llm.store import documents
 
 CONTRACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -18,11 +19,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_near_dedup": near_dedup.near_documents,
     "op3_quality": quality.quality_scores,
     "op4_language": language.document_languages,
     "op5_sharding": sharding.shard_documents,
     "op7_packing": packing.pack_table,
     "op8_token_counts": token_counts.count_tokens,
+    "op9_embedding_dedup": embedding_dedup.near_embeddings,
     "op10_mixing": mixing.mix_documents,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.ORACLE,
+    "op2_near_dedup": near_dedup.ORACLE,
+    "op9_embedding_dedup": embedding_dedup.ORACLE,
+    "op10_mixing": mixing.ORACLE,
 }
-ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
