@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from noteflow.llm import embedding_dedup, exact_dedup, language, mixing, near_dedup, packing, quality, sharding, token_counts
+from noteflow.llm import embedding_dedup, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, sharding, token_counts
 from noteflow.llm.store import documents
 
 CONTRACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.quality_scores,
     "op4_language": language.document_languages,
     "op5_sharding": sharding.shard_documents,
+    "op6_licenses": licenses.scan_documents,
     "op7_packing": packing.pack_table,
     "op8_token_counts": token_counts.count_tokens,
     "op9_embedding_dedup": embedding_dedup.near_embeddings,
