@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noteflow.llm.store import Scratch, documents, row_name
+from noteflow.llm.store import Scratch, documents, named_rows, row_name
 from noteflow.operators.scan import global_rank, join_dimension
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -112,13 +112,16 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
 
     Rows that agree in id and text share their copies evenly.
     """
-    names = row_name(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
-    copies = mix(docs, doc_id=doc_id, text=text, source=source).groupBy("_d", "_k").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    rows = docs.withColumns(names).join(copies.filter("_copies > 0"), ["_d", "_k"])
-    place = F.row_number().over(Window.partitionBy("_d", "_k").orderBy(F.col("_rows")))
-    share = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("long")
-    rows = rows.withColumn("_share", share).filter("_share > 0")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share"))))
+    rows, t = named_rows(docs, doc_id, text)
+    key = [f"{t}d", f"{t}k"]
+    copies = mix(docs, doc_id=doc_id, text=text, source=source).groupBy(F.col("_d").alias(key[0]), F.col("_k").alias(key[1]))
+    copies = copies.agg(F.sum("copies").alias(f"{t}copies"), F.count(F.lit(1)).alias(f"{t}rows"))
+    rows = rows.join(copies.filter(F.col(f"{t}copies") > 0), key)
+    total, equal = F.col(f"{t}copies"), F.col(f"{t}rows")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(equal))
+    share = F.floor(total / equal) + (place <= total % equal).cast("long")
+    rows = rows.withColumn(f"{t}share", share).filter(F.col(f"{t}share") > 0)
+    rows = rows.withColumn(f"{t}copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{t}share"))))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -63,11 +63,20 @@ def pick_rows(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text:
     A name is made by ``row_name``. Rows that agree in id and text share it; of those the row with the
     smallest digest over all columns stays.
     """
-    names = row_name(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
-    rows = docs.withColumns(names).join(chosen.select("_d", "_k"), ["_d", "_k"], "left_semi")
+    rows, t = named_rows(docs, doc_id, text)
+    rows = rows.join(chosen.select(F.col("_d").alias(f"{t}d"), F.col("_k").alias(f"{t}k")), [f"{t}d", f"{t}k"], "left_semi")
     digest = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])))
-    first = F.row_number().over(Window.partitionBy("_d", "_k").orderBy(digest))
-    return rows.withColumn("_first", first).filter("_first = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = F.row_number().over(Window.partitionBy(f"{t}d", f"{t}k").orderBy(digest))
+    return rows.withColumn(f"{t}first", first).filter(f"{t}first = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def named_rows(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    """``docs`` with the parts of the row name in two more columns, and the prefix of such columns, free in ``docs``."""
+    tag = "_"
+    while any(c.startswith(tag) for c in docs.columns):
+        tag += "_"
+    names = row_name(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    return docs.withColumns({f"{tag}{k[1:]}": c for k, c in names.items()}), tag
 
 
 def row_name(doc_id: Column, text: Column) -> dict[str, Column]:
