@@ -4,8 +4,8 @@ Learned filters run over overlapping chunks that cover the whole text; each keep
 mean and the maximum over the chunks then go through one hidden layer to a probability.
 
 The network is fitted on the driver, on a bounded sample of labelled rows (``SAMPLE`` per class; texts above
-``LONGEST`` bytes aren't sampled, but are scored whole). The sample holds as many rows of either class;
-the share of label 1 among all labelled rows is counted and put back into the score. Scoring is one
+``LONGEST`` bytes aren't sampled, but are scored whole). Both classes weigh alike in
+the fit; the share of label 1 among all labelled rows is counted and put back into the score. Scoring is one
 pass over the table in Arrow batches, without a shuffle.
 """
 
@@ -27,7 +27,7 @@ CHUNK, UNIT, DEPTH, BANKS = 512, 4, 8, ((2, 12), (5, 16))
 HIDDEN = 16
 #: Chunks of one document that one training step sees; which ones changes from step to step.
 CHUNKS_PER_STEP = 4
-EPOCHS, STEP_DOCUMENTS = 8, 32
+STEPS, STEP_DOCUMENTS = 600, 32
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 
@@ -51,9 +51,10 @@ class QualityNet:
         rows, starts = f.cut(np.diff(offsets))
         begin = np.searchsorted(rows, np.arange(len(texts) + 1))
         adam = Adam([*f.parameters(), self.inner, self.inner_bias, self.outer, self.outer_bias])
-        share_here = labels.mean()
-        steps, done = EPOCHS * -(-len(texts) // STEP_DOCUMENTS), 0
-        for _ in range(EPOCHS):
+        # Both classes weigh alike, however many rows of each there are.
+        weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
+        done = 0
+        while done < STEPS:
             order = rng.permutation(len(texts))
             for at in range(0, len(order), STEP_DOCUMENTS):
                 chosen = order[at : at + STEP_DOCUMENTS]
@@ -68,16 +69,16 @@ class QualityNet:
                 pre = both @ self.inner + self.inner_bias
                 mid = np.maximum(pre, 0)
                 p = 1 / (1 + np.exp(-(mid @ self.outer + self.outer_bias)))
-                d = ((p - labels[chosen]) / len(chosen)).astype(np.float32)
+                d = (weight[chosen] * (p - labels[chosen]) / len(chosen)).astype(np.float32)
                 d_pre = d[:, None] * self.outer * (pre > 0)
                 d_both = d_pre @ self.inner.T
                 d_mean, d_top = d_both[:, : f.n] / count, d_both[:, f.n :]
                 ties = h == top[owner]
                 d_h = d_mean[owner] + d_top[owner] * ties / np.add.reduceat(ties, edge)[owner]
                 grads = [*f.gradients(kept, d_h), both.T @ d_pre + 1e-4 * self.inner, d_pre.sum(0), mid.T @ d + 1e-4 * self.outer, np.array([d.sum()])]
-                adam.step(grads, 1 - 0.9 * done / steps)
+                adam.step(grads, 1 - 0.9 * min(1.0, done / STEPS))
                 done += 1
-        self.shift = float(np.log(share / (1 - share)) - np.log(share_here / (1 - share_here)))
+        self.shift = float(np.log(share / (1 - share)))
         return self
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
