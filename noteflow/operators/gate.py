@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,56 +12,66 @@ from noteflow.operators.scan import BLK, ordered_scan, with_halo
 from noteflow.operators.scores import next_onset, time_block
 from noteflow.session import ensure_checkpoint_dir
 
-# Tolerances of the gate.
-ONSET_MS = 50.0
-OFFSET_MIN_MS = 50.0
-OFFSET_FRACTION = 0.20
-F0_CENTS = 25.0
-F0_COVERAGE = 0.80
-SNR_FLOOR_DB = 0.0
-CLIP_PEAK = 1.0 + 1e-6
+@dataclass(frozen=True)
+class Tolerances:
+    """What the gate allows; the defaults are fixed values."""
 
-#: Width of the time bins on which notes and frames meet, in frames.
-BIN_FRAMES = 32
-FRAME_S = 0.02
+    onset_ms: float = 50.0
+    offset_min_ms: float = 50.0
+    offset_fraction: float = 0.20
+    f0_cents: float = 25.0
+    f0_coverage: float = 0.80
+    snr_floor_db: float = 0.0
+    min_note_ms: float = 50.0
+    #: Measured times are this much late.
+    group_delay_ms: float = 0.0
 
+    def offset_ms(self, duration_ms: Column) -> Column:
+        return F.greatest(F.lit(self.offset_min_ms), F.lit(self.offset_fraction) * duration_ms)
 
-def _offset_tol_ms(duration_ms: Column) -> Column:
-    return F.greatest(F.lit(OFFSET_MIN_MS), F.lit(OFFSET_FRACTION) * duration_ms)
 
+DEFAULT = Tolerances()
+CLIP_PEAK = 1.0 + 1e-6
+
+#: Seconds of the time bins on which notes and frames meet, and frames of a block of the neighbour window.
+BIN_S = 0.64
+BLOCK_FRAMES = 4096
 
-def note_windows(notes: DataFrame, hot: list | None = None) -> DataFrame:
+
+def note_windows(notes: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
     """Search windows of every note: onset ± win, offset window capped at the next onset, sustain."""
-    win = max(0.15, 3.0 * ONSET_MS / 1000.0)
+    win = max(0.15, 3.0 * tol.onset_ms / 1000.0)
     dur = F.col("offset_s") - F.col("onset_s")
-    tol = _offset_tol_ms(dur * 1000.0)
-    off_win = F.greatest(F.lit(win), tol / 1000.0)
+    off_tol = tol.offset_ms(dur * 1000.0)
+    off_win = F.greatest(F.lit(win), off_tol / 1000.0)
     return next_onset(notes, hot).withColumns({
         "on_lo": F.col("onset_s") - win, "on_hi": F.col("onset_s") + win,
         "off_lo": F.col("offset_s") - off_win,
         "off_hi": F.least(F.col("offset_s") + off_win, F.col("next_onset_s")),
         "sus_lo": F.col("onset_s") + F.lit(0.1) * dur, "sus_hi": F.col("offset_s") - F.lit(0.1) * dur,
-        "off_tol_ms": tol,
+        "off_tol_ms": off_tol,
     })
 
 
-def neighbour_frames(frames: DataFrame, bin_frames: int = BIN_FRAMES) -> DataFrame:
+def neighbour_frames(frames: DataFrame, delay_s: float = 0.0, block_frames: int = BLOCK_FRAMES, bin_s: float = BIN_S) -> DataFrame:
     """Frames by time bin with their pitch in cents and that of both neighbours.
 
     The logarithm is taken once per frame; against a note it is then a subtraction. The pitch is
-    NULL where a frame is unvoiced. The bin is the block column.
+    NULL where a frame is unvoiced. Neighbours are found by frame number, bins by the measured time less
+    the delay, so any hop and any delay will do.
     """
     level = F.when(F.col("voiced"), cents("f0_hz", F.lit(440.0)))
-    slim = frames.select("sample_id", "frame_idx", "t_s", level.alias("cents"))
+    slim = frames.select("sample_id", "frame_idx", (F.col("t_s") - delay_s if delay_s else F.col("t_s")).alias("t_s"), level.alias("cents"))
     w = Window.partitionBy("sample_id", BLK).orderBy("frame_idx")
     look = {}
     for name, fn in (("prev", F.lag), ("next", F.lead)):
         look[f"{name}_cents"] = fn("cents").over(w)
         look[f"has_{name}"] = fn("frame_idx").over(w).isNotNull()
-    return with_halo(slim, "frame_idx", bin_frames, before=1, after=1).withColumns(look).filter("_own").drop("_own")
+    near = with_halo(slim, "frame_idx", block_frames, before=1, after=1).withColumns(look).filter("_own").drop("_own")
+    return near.withColumn(BLK, F.floor(F.col("t_s") / bin_s))
 
 
-def _in_tune(level: str, tol: float = F0_CENTS) -> Column:
+def _in_tune(level: str, tol: float = DEFAULT.f0_cents) -> Column:
     return F.coalesce(F.abs(F.col(level) - F.col("ref_cents")) <= tol, F.lit(False))
 
 
@@ -67,32 +79,26 @@ def _ref_cents() -> Column:
     return (F.col("pitch_midi") - 69) * 100.0
 
 
-def note_frame_join(notes: DataFrame, frames: DataFrame, hot: list | None = None) -> DataFrame:
+def note_frame_join(notes: DataFrame, frames: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
     """Notes with every frame inside any of their windows, and the edge flags of that frame."""
-    return _note_bins(notes, frames, hot).filter(F.col("t_s").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+    return _note_bins(notes, frames, hot, tol).filter(F.col("t_s").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
-def _note_bins(
-    notes: DataFrame, frames: DataFrame, hot: list | None = None, *,
-    frame_s: float = FRAME_S, bin_frames: int = BIN_FRAMES,
-) -> DataFrame:
-    """Left join of notes and frames on (sample, time bin), frame ``k`` lying at ``k * frame_s``.
+def _note_bins(notes: DataFrame, frames: DataFrame, hot: list | None, tol: Tolerances, bin_s: float = BIN_S) -> DataFrame:
+    """Left join of notes and frames on (sample, time bin).
 
     A note is listed in each bin it touches, a frame in one. The optimizer does not see how many rows
-    an explode makes, so the frames are kept from being broadcast. They are already partitioned by
-    that key for the neighbour window, so they shuffle once. A note without frames stays.
+    an explode makes, so the frames are kept from being broadcast. A note without frames stays.
     """
-    width = bin_frames * frame_s
-    wide = note_windows(notes, hot).withColumnRenamed("score_id", "sample_id")
+    wide = note_windows(notes, hot, tol).withColumnRenamed("score_id", "sample_id")
     lo = F.least("on_lo", "off_lo")
     hi = F.greatest("on_hi", "off_hi", "offset_s")
-    bins = F.sequence(F.floor(F.greatest(lo, F.lit(0.0)) / width - 1e-6), F.floor(hi / width + 1e-6))
-    listed = wide.withColumns({"_lo": lo, "_hi": hi, "ref_cents": _ref_cents()}).withColumn(
-        BLK, F.explode(bins)
-    )
-    joined = listed.join(neighbour_frames(frames, bin_frames).hint("merge"), ["sample_id", BLK], "left")
+    bins = F.sequence(F.floor(lo / bin_s), F.floor(hi / bin_s))
+    listed = wide.withColumns({"_lo": lo, "_hi": hi, "ref_cents": _ref_cents()}).withColumn(BLK, F.explode(bins))
+    near = neighbour_frames(frames, tol.group_delay_ms / 1000.0, bin_s=bin_s)
+    joined = listed.join(near.hint("merge"), ["sample_id", BLK], "left")
     tuned = joined.withColumns({
-        "in_tune": _in_tune("cents"), "prev_tune": _in_tune("prev_cents"), "next_tune": _in_tune("next_cents"),
+        "in_tune": _in_tune("cents", tol.f0_cents), "prev_tune": _in_tune("prev_cents", tol.f0_cents), "next_tune": _in_tune("next_cents", tol.f0_cents),
     })
     return tuned.withColumns({
         "rising": F.col("in_tune") & F.coalesce(F.col("has_prev"), F.lit(False)) & ~F.col("prev_tune"),
@@ -100,7 +106,7 @@ def _note_bins(
     }).drop(BLK, "cents", "ref_cents", "prev_cents", "next_cents", "has_prev", "has_next", "prev_tune", "next_tune")
 
 
-def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, min_note_ms: float = 50.0) -> DataFrame:
+def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
     """Per note: nearest onset edge, last offset edge, sustained coverage, and the three verdicts.
 
     Only minima, maxima and counts, so partial aggregation happens before the shuffle.
@@ -122,7 +128,7 @@ def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, mi
         "n_sus": F.count_if(in_sus), "c_sus": F.count_if(in_sus & F.col("in_tune")),
         "n_all": F.count_if(in_note), "c_all": F.count_if(in_note & F.col("in_tune")),
     }
-    per = _note_bins(notes, frames, hot).groupBy(
+    per = _note_bins(notes, frames, hot, tol).groupBy(
         "sample_id", "note_idx", "onset_s", "offset_s", "off_tol_ms"
     ).agg(*[c.alias(n) for n, c in agg.items()])
 
@@ -146,14 +152,14 @@ def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, mi
     })
     return checked.select(
         "sample_id", "note_idx", "onset_s", "offset_s", "onset_t", "offset_t", "onset_dev_ms", "offset_dev_ms", "off_tol_ms", "coverage",
-        F.coalesce(F.col("onset_dev_ms") <= ONSET_MS, F.lit(False)).alias("onset_ok"),
+        F.coalesce(F.col("onset_dev_ms") <= tol.onset_ms, F.lit(False)).alias("onset_ok"),
         F.coalesce(F.col("offset_dev_ms") <= F.col("off_tol_ms"), F.lit(False)).alias("offset_ok"),
-        ((F.col("n_all") + F.col("n_sus") > 0) & (F.col("coverage") >= F0_COVERAGE)).alias("f0_ok"),
-        ((F.col("offset_s") - F.col("onset_s")) * 1000.0 + 1e-6 < min_note_ms).alias("short"),
+        ((F.col("n_all") + F.col("n_sus") > 0) & (F.col("coverage") >= tol.f0_coverage)).alias("f0_ok"),
+        ((F.col("offset_s") - F.col("onset_s")) * 1000.0 + 1e-6 < tol.min_note_ms).alias("short"),
     )
 
 
-def verdict(checks: DataFrame, samples: DataFrame, snr_floor_db: float = SNR_FLOOR_DB) -> DataFrame:
+def verdict(checks: DataFrame, samples: DataFrame, snr_floor_db: float = DEFAULT.snr_floor_db) -> DataFrame:
     """Per sample: the three checks over all notes and the status by precedence.
 
     quarantined (level ratio) > rejected (clipping or a failed check) > flagged (short) > accepted.
@@ -182,27 +188,40 @@ def verdict(checks: DataFrame, samples: DataFrame, snr_floor_db: float = SNR_FLO
     )
 
 
-def verdict_reasons(checks: DataFrame) -> DataFrame:
+def verdict_reasons(checks: DataFrame, samples: DataFrame, tol: Tolerances = DEFAULT) -> DataFrame:
     """One row per failed check, in the order (note_idx, seq) a report lists them.
 
-    A table instead of one string per sample: a long sample may fail in very many notes.
+    A table instead of one string per sample: a long sample may fail in very many notes. Reasons of the
+    sample as a whole (clipping, level ratio) have no note; a short note is a reason unless the sample is
+    rejected. ``samples`` holds sample_id, snr_db, peak.
     """
     text = lambda fmt, *cols: F.format_string(fmt, "note_idx", *cols)
     pct = F.format_string("%.0f%%", F.bround(F.col("coverage") * 100))
     onset = F.when(F.col("onset_t").isNull(), text("note %d: no in-tune onset detected")).otherwise(
-        text("note %d: onset off by %.0f ms (> 50 ms)", "onset_dev_ms")
+        text(f"note %d: onset off by %.0f ms (> {tol.onset_ms:.0f} ms)", "onset_dev_ms")
     )
     offset = F.when(F.col("offset_t").isNull(), text("note %d: no in-tune offset detected")).otherwise(
         text("note %d: offset off by %.0f ms (> %.0f ms)", "offset_dev_ms", "off_tol_ms")
     )
-    f0 = text("note %d: f0 in tune for %s of the note (< 80%%)", pct)
+    f0 = text(f"note %d: f0 in tune for %s of the note (< {tol.f0_coverage * 100:.0f}%%)", pct)
+    judged = verdict(checks, samples, tol.snr_floor_db)
+    told = checks.join(judged.select("sample_id", "status"), "sample_id")
+    short = F.when(F.col("short") & (F.col("status") != "rejected"), text(f"note %d: shorter than min_note_ms={tol.min_note_ms:.1f}"))
     reasons = F.array(
-        F.when(~F.col("onset_ok"), onset), F.when(~F.col("offset_ok"), offset), F.when(~F.col("f0_ok"), f0)
+        F.when(~F.col("onset_ok"), onset), F.when(~F.col("offset_ok"), offset), F.when(~F.col("f0_ok"), f0), short
+    )
+    notes = told.select("sample_id", "note_idx", F.posexplode(reasons).alias("seq", "reason"))
+    whole = F.array(
+        F.when(F.col("clipping"), F.format_string("clipping: peak=%.3f > 1.0", "peak")),
+        F.when(F.col("snr_fail"), F.format_string(f"snr %.1f dB below floor {tol.snr_floor_db} dB", "snr_db")),
     )
-    return checks.select("sample_id", "note_idx", F.posexplode(reasons).alias("seq", "reason")).filter("reason IS NOT NULL")
+    of_sample = judged.join(samples.select("sample_id", "peak"), "sample_id").select(
+        "sample_id", F.lit(None).cast(checks.schema["note_idx"].dataType).alias("note_idx"), F.posexplode(whole).alias("k", "reason")
+    ).select("sample_id", "note_idx", (F.col("k") + 4).alias("seq"), "reason")
+    return notes.unionByName(of_sample).filter("reason IS NOT NULL")
 
 
-def preserved_timing(rows: DataFrame, onset_tol_ms: float = ONSET_MS) -> DataFrame:
+def preserved_timing(rows: DataFrame, onset_tol_ms: float = DEFAULT.onset_ms) -> DataFrame:
     """Re-judge a mix over an untouched vocal by the measured note shift.
 
     A larger shift, a quarantine, clipping or a failed pitch check stands; otherwise the timing
@@ -327,7 +346,7 @@ def derive_labels(notes: DataFrame, rms: DataFrame, hop_s: float, group_delay_s:
 
 def refine_offsets(notes: DataFrame, frames: DataFrame, hot: list | None = None) -> DataFrame:
     """Offsets moved to the last in-tune (±100 cents) frame, inside the note's own span."""
-    width = BIN_FRAMES * FRAME_S
+    width = BIN_S
     hi = F.least(F.col("offset_s") + 0.2, F.col("next_onset_s"))
     n = next_onset(notes, hot).withColumns({"_hi": hi, "f_ref": midi_to_hz("pitch_midi")})
     listed = n.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("onset_s") / width), F.floor(F.greatest("_hi", "onset_s") / width))))

@@ -43,7 +43,22 @@ SELECT sample_id, CASE WHEN v.onset_ok IS NULL THEN 'rejected' WHEN coalesce(snr
 FROM @sample_meta m LEFT JOIN (SELECT sample_id, bool_and(onset_ok) AS onset_ok, bool_and(offset_ok) AS offset_ok, bool_and(f0_ok) AS f0_ok, count(*) FILTER (short) AS n_short, max(onset_dev_ms) AS dev,
   count(*) FILTER (NOT onset_ok) + count(*) FILTER (NOT offset_ok) + count(*) FILTER (NOT f0_ok) AS n_reasons FROM @checks GROUP BY sample_id) v USING (sample_id)"""
 
-MIN_NOTE_MS = 100.0
+#: Another floor than the learned one, so that short notes occur in the test tables.
+FLOOR = G.Tolerances(min_note_ms=100.0)
+#: Other measurement grids: frames per 20 ms as a fraction, and the delay of the measured times in ms.
+GRIDS = {"pyin": (441, 512, 0), "crepe": (2, 1, 15)}
+
+# The same views with the learned floor, and over each of the grids.
+VIEWS["floor"] = "SELECT greatest(quantile_cont((offset_s - onset_s) * 1e3, 0.01), 10e0, 50e0) AS floor_ms FROM @notes"
+VIEWS["checks_learned"] = VIEWS["checks"].replace("< 100 AS short", "< (SELECT floor_ms FROM @floor) AS short")
+VIEWS["verdicts_learned"] = VIEWS["verdicts"].replace("@checks", "@checks_learned")
+for grid, (up, down, delay) in GRIDS.items():
+    VIEWS[f"f0_{grid}"] = f"""
+SELECT sample_id, j AS frame_idx, (j * {20 * down} + {delay * up})::DOUBLE / {1000.0 * up}::DOUBLE - {delay / 1000.0}::DOUBLE AS t_s, f0_hz, voiced FROM (
+SELECT *, unnest(range((frame_idx * {up} + {down - 1}) // {down}, ((frame_idx + 1) * {up} + {down - 1}) // {down})) AS j FROM @f0_frames)"""
+    VIEWS[f"near_{grid}"] = VIEWS["near_frames"].replace("@f0_frames", f"@f0_{grid}")
+    VIEWS[f"frames_{grid}"] = VIEWS["note_frames"].replace("@near_frames", f"@near_{grid}")
+    VIEWS[f"checks_{grid}"] = VIEWS["checks"].replace("@note_frames", f"@frames_{grid}")
 
 
 def gated_notes(t: Tables):
@@ -54,7 +69,7 @@ def gated_notes(t: Tables):
 
 
 def checks(t: Tables):
-    return G.note_checks(gated_notes(t), t.f0_frames, t.hot_scores, MIN_NOTE_MS)
+    return G.note_checks(gated_notes(t), t.f0_frames, t.hot_scores, FLOOR)
 
 
 @query("note_frame_join", "SELECT score_id AS sample_id, note_idx, frame_idx, cur AS in_tune, rising, falling FROM @note_frames WHERE frame_idx IS NOT NULL")
@@ -77,6 +92,17 @@ def _(t: Tables):
     return checks(t).select("sample_id", "note_idx", "onset_ok", "offset_ok", "f0_ok", "short", F.round("coverage", 6).alias("coverage"))
 
 
+for _grid in GRIDS:
+
+    @query(f"note_checks_{_grid}", f"SELECT sample_id, note_idx, round(onset_dev_ms, 4) AS onset_dev_ms, onset_ok, offset_ok, f0_ok, round(coverage, 6) AS coverage FROM @checks_{_grid}")
+    def _(t: Tables, grid: str = _grid):
+        """The gate over another hop and group delay."""
+        up, down, delay = GRIDS[grid]
+        tol = G.Tolerances(min_note_ms=100.0, group_delay_ms=float(delay))
+        out = G.note_checks(gated_notes(t), t.f0_frames_at(up, down, delay), t.hot_scores, tol)
+        return out.select("sample_id", "note_idx", F.round("onset_dev_ms", 4).alias("onset_dev_ms"), "onset_ok", "offset_ok", "f0_ok", F.round("coverage", 6).alias("coverage"))
+
+
 @query("verdict", "SELECT * EXCLUDE (dev), round(dev, 6) AS max_onset_dev_ms FROM @verdicts")
 def _(t: Tables):
     return G.verdict(checks(t), t.sample_meta).withColumn("max_onset_dev_ms", F.round("max_onset_dev_ms", 6))
@@ -87,16 +113,21 @@ def _(t: Tables):
     """SELECT sample_id, note_idx, CAST(seq AS INTEGER) AS seq, reason FROM (
     SELECT sample_id, note_idx, 0 AS seq, CASE WHEN onset_t IS NULL THEN printf('note %d: no in-tune onset detected', note_idx) ELSE printf('note %d: onset off by %.0f ms (> 50 ms)', note_idx, onset_dev_ms) END AS reason FROM @checks WHERE NOT onset_ok
     UNION ALL SELECT sample_id, note_idx, 1, CASE WHEN offset_t IS NULL THEN printf('note %d: no in-tune offset detected', note_idx) ELSE printf('note %d: offset off by %.0f ms (> %.0f ms)', note_idx, offset_dev_ms, tol) END FROM @checks WHERE NOT offset_ok
-    UNION ALL SELECT sample_id, note_idx, 2, printf('note %d: f0 in tune for %.0f%% of the note (< 80%%)', note_idx, coverage * 100) FROM @checks WHERE NOT f0_ok)""",
+    UNION ALL SELECT sample_id, note_idx, 2, printf('note %d: f0 in tune for %.0f%% of the note (< 80%%)', note_idx, coverage * 100) FROM @checks WHERE NOT f0_ok
+    UNION ALL SELECT sample_id, note_idx, 3, printf('note %d: shorter than min_note_ms=100.0', note_idx) FROM @checks JOIN @verdicts USING (sample_id) WHERE short AND status <> 'rejected'
+    UNION ALL SELECT sample_id, NULL, 4, printf('clipping: peak=%.3f > 1.0', peak) FROM @verdicts JOIN @sample_meta USING (sample_id) WHERE clipping
+    UNION ALL SELECT sample_id, NULL, 5, printf('snr %.1f dB below floor 0.0 dB', snr_db) FROM @verdicts WHERE snr_fail)""",
 )
 def _(t: Tables):
-    return G.verdict_reasons(checks(t))
+    return G.verdict_reasons(checks(t), t.sample_meta, FLOOR)
 
 
-@query("gate_summary", "SELECT status, count(*) AS samples FROM @verdicts GROUP BY status")
+@query("gate_summary", "SELECT status, count(*) AS samples FROM @verdicts_learned GROUP BY status")
 def _(t: Tables):
     """Acceptance by verdict: read, check, learn the floor, measure, judge."""
-    return G.verdict(checks(t), t.sample_meta).groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
+    floor = S.learn_min_note_ms(t.notes, 1.0, {"align": 10.0, "f0": 5.0}).first()["min_note_ms"]
+    found = G.note_checks(gated_notes(t), t.f0_frames, t.hot_scores, G.Tolerances(min_note_ms=floor))
+    return G.verdict(found, t.sample_meta).groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
 
 
 @query(

@@ -119,8 +119,7 @@ def _(t: Tables):
 
 @query("best_thresholds")
 def _(t: Tables):
-    coarse = X.threshold_sweep(t.posteriors, t.ref_notes, onset_grid=(0.3, 0.5, 0.7), frame_grid=(0.1, 0.3, 0.5), hot=t.hot_scores)
-    return X.best_thresholds(coarse)
+    return X.best_thresholds(X.threshold_sweep(t.posteriors, t.ref_notes, hot=t.hot_scores))
 
 
 @query("align_dtw")
@@ -130,5 +129,4 @@ def _(t: Tables):
 
 @query("relabel_repair")
 def _(t: Tables):
-    meta = t.sample_meta.select("sample_id", F.lit(None).cast("double").alias("snr_db"), F.lit(0.9).alias("peak"))
-    return A.relabel_repair(gated_notes(t), t.f0_frames, meta, t.hot_scores)
+    return A.relabel_repair(gated_notes(t), t.f0_frames, t.sample_meta, t.hot_scores)

@@ -10,9 +10,15 @@ from noteflow.sources.manifest_io import append_manifest
 from noteflow.streaming import manifest_stream as ST
 
 
-def _events(t: Tables):
-    schema = t.raw("events").schema
-    e = ST.stream_files(t.spark, t.sf_dir, schema, glob="events.parquet")
+def _events(t: Tables, closing: str | None = None):
+    """The events as a stream. With ``closing``, a last row that much later moves the watermark past all others."""
+    table = t.raw("events")
+    schema = table.schema
+    if closing:
+        last = table.agg((F.max("ts") + F.expr(f"INTERVAL {closing}")).alias("ts"))
+        e = ST.stream_files(t.spark, ST.write_for_stream(table.unionByName(last, allowMissingColumns=True)), schema)
+    else:
+        e = ST.stream_files(t.spark, t.sf_dir, schema, glob="events.parquet")
     return e.withColumns({
         "ts": F.col("ts").cast("timestamp"),
         "sample_id": F.concat_ws("_", F.col("user_id").cast("string"), "event_type"), "status": F.col("event_type"),
@@ -42,7 +48,7 @@ def _(t: Tables):
 
 @query("stream_dedupe", "SELECT DISTINCT user_id || '_' || event_type AS sample_id FROM events")
 def _(t: Tables):
-    return ST.drain(ST.stream_dedupe(_events(t), delay="3650 days")).select("sample_id")
+    return ST.drain(ST.stream_dedupe(_events(t))).select("sample_id")
 
 
 @query("stream_tally", "SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type")
@@ -56,7 +62,7 @@ def _(t: Tables):
     SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, g""",
 )
 def _(t: Tables):
-    out = ST.drain(ST.stream_phrases(_events(t), "user_id", gap="2 hours"), "complete")
+    out = ST.drain(ST.stream_phrases(_events(t, closing="1 day"), "user_id", gap="2 hours"))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
@@ -70,5 +76,6 @@ def _(t: Tables):
     notes = t.note_rows().select(F.col("score_id").alias("sample_id"), "note_idx", at(F.col("onset_ms")).alias("on_ts"), at(F.col("offset_ms")).alias("off_ts"))
     frames = t.frame_rows().select("sample_id", "frame_idx", at(F.col("t_ms")).alias("ts"))
     a, b = ST.write_for_stream(notes), ST.write_for_stream(frames)
-    joined = ST.stream_gate(ST.stream_files(t.spark, a, notes.schema), ST.stream_files(t.spark, b, frames.schema))
+    # Most notes are longer than the bound, so they are joined in pieces.
+    joined = ST.stream_gate(ST.stream_files(t.spark, a, notes.schema), ST.stream_files(t.spark, b, frames.schema), longest="200 milliseconds")
     return ST.drain(joined).groupBy("sample_id", "note_idx").agg(F.count(F.lit(1)).alias("frames"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+LOCAL = re.compile(r"local(\[.*\])?$")
+
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
@@ -34,7 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-", dir=os.environ.get("TMPDIR")))
+    elif LOCAL.match(sc.master):
+        # One process holds driver and executors, so its own folder is shared; it goes when the process ends.
+        folder = tempfile.mkdtemp(prefix="spark-ckpt-", dir=os.environ.get("TMPDIR"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     else:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -157,6 +157,14 @@ class Tables:
             F.when(voiced, hz).alias("f0_hz"), voiced.alias("voiced"),
         )
 
+    def f0_frames_at(self, up: int, down: int, delay_ms: int) -> DataFrame:
+        """The same pitch track on another grid, of up / down frames per 20 ms, each time late by the delay."""
+        k = F.col("frame_idx")
+        first = lambda c: F.floor((c * up + (down - 1)) / down)
+        track = self.f0_frames.filter(first(k + 1) > first(k)).withColumn("frame_idx", F.explode(F.sequence(first(k), first(k + 1) - 1)))
+        late = (F.col("frame_idx") * (FRAME_MS * down) + F.lit(delay_ms * up)) / F.lit(1000.0 * up)
+        return track.withColumn("t_s", late)
+
     @property
     def rms_frames(self) -> DataFrame:
         loud = F.lit(0.05) + F.col("pk") % 20 / 100.0

@@ -50,17 +50,25 @@ def stream_gate(notes: DataFrame, frames: DataFrame, win: str = "150 millisecond
     """Frames that reach a note's onset or offset windows, as both arrive.
 
     ``notes``: sample_id, note_idx, on_ts, off_ts; ``frames``: sample_id, frame_idx, ts. Both sides
-    carry watermarks and the time bound lets old state go; no note is longer than ``longest``.
+    carry watermarks and the time bound lets old state go. A note longer than ``longest`` is cut into
+    consecutive pieces of that length, each with its own start, so the bound holds for notes of any length
+    and a frame meets one piece of a note.
     """
-    n = notes.withWatermark("on_ts", delay).withColumnRenamed("sample_id", "n_sample")
+    step, reach = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {longest})"), F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {win})")
+    on, off = F.unix_micros("on_ts"), F.unix_micros("off_ts")
+    last = F.greatest(F.ceil((off - on) / step) - 1, F.lit(0))
+    n = notes.withColumn("_last", last).withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))))
+    n = n.withColumn("_from", F.timestamp_micros(on + F.col("_piece") * step)).withWatermark("_from", delay).withColumnRenamed("sample_id", "n_sample")
     f = frames.withWatermark("ts", delay)
     near = (
         (F.col("n_sample") == F.col("sample_id"))
-        & (F.col("ts") >= F.col("on_ts") - F.expr(f"INTERVAL {win}"))
-        & (F.col("ts") <= F.col("on_ts") + F.expr(f"INTERVAL {longest}"))
-        & (F.col("ts") <= F.col("off_ts") + F.expr(f"INTERVAL {win}"))
+        & (F.col("ts") >= F.col("_from") - F.expr(f"INTERVAL {win}"))
+        & (F.col("ts") <= F.col("_from") + F.expr(f"INTERVAL {longest}") + F.expr(f"INTERVAL {win}"))
+        & ((F.col("_piece") == 0) | (F.col("ts") >= F.col("_from")))
+        & ((F.col("_piece") == F.col("_last")) | (F.unix_micros("ts") < F.unix_micros("_from") + step))
+        & (F.unix_micros("ts") <= F.unix_micros("off_ts") + reach)
     )
-    return n.join(f, near).drop("n_sample")
+    return n.join(f, near).drop("n_sample", "_from", "_piece", "_last")
 
 
 def _workdir(spark: SparkSession) -> str:
@@ -89,6 +97,8 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
     query = writer.foreachBatch(replace).outputMode(mode).start()
     query.awaitTermination()
+    if not batches:
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{work}/out/epoch={max(batches)}")
 
 

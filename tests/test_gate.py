@@ -28,7 +28,7 @@ def frames_of(spark, sid, spans, length):
 
 def judge(spark, df, frames, snr=None, peak=0.5, min_ms=50.0):
     meta = df.select(F.col("score_id").alias("sample_id")).distinct().select("sample_id", F.lit(snr).cast("double").alias("snr_db"), F.lit(peak).alias("peak"))
-    return G.verdict(G.note_checks(df, frames, min_note_ms=min_ms), meta).first()
+    return G.verdict(G.note_checks(df, frames, tol=G.Tolerances(min_note_ms=min_ms)), meta).first()
 
 
 def test_verdict_precedence(spark, notes):
