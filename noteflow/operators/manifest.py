@@ -191,13 +191,13 @@ def last_base(m: DataFrame) -> DataFrame:
     )
 
 
-def variant_base_pairs(m: DataFrame) -> DataFrame:
-    """Variants with the base record of the same lane and voice, if there is one."""
+def variant_base_pairs(m: DataFrame, accepted_bases: bool = False) -> DataFrame:
+    """Variants with the base record of the same lane and voice, if there is one (among accepted records)."""
     variants = m.filter(is_variant()).select(
         "sample_id", "score_id", "base_score_id", "lane", "voice_id", "score_aug_axis", "score_aug_transform",
         "score_aug_profile", status().alias("status"), "score_path",
     )
-    return variants.join(last_base(m), ["base_score_id", "lane", "voice_id"], "left")
+    return variants.join(last_base(accepted(m) if accepted_bases else m), ["base_score_id", "lane", "voice_id"], "left")
 
 
 def labels_of(m: DataFrame, notes: DataFrame) -> DataFrame:
@@ -265,17 +265,20 @@ def criteria_score_aug(m: DataFrame, notes: DataFrame, budgets: dict[str, float]
     good_hu = (F.col("score_aug_axis") == "humanize") & (F.col("n_notes") > 0) & F.col("valid") & within
     g = joined.agg(F.count_if(good_tr).alias("ok_tr"), F.count_if(good_hu).alias("ok_hu"))
     p = path_collisions(m).agg(F.count(F.lit(1)).alias("collisions"))
+    told = score_aug_coverage(m).select("enabled", F.size("by_transform").alias("transforms"), "effective_multiplier")
     c = F.col
     none = lambda n, x: F.when(c(n) == 0, 1.0).otherwise(x)
     clean, tr, hu = _fraction(c("clean"), c("orig")), _fraction(c("ok_tr"), c("n_tr")), _fraction(c("ok_hu"), c("n_hu"))
     traced = _fraction(c("traced"), c("var"))
     apart = (c("collisions") == 0) & (c("misfiled") == 0)
-    return _criteria(one_row(w, g, p), [
+    times = F.when(c("acc_orig") > 0, (c("acc_var") + c("acc_orig")) / c("acc_orig")).otherwise(0.0)
+    covered = (c("acc_var") == 0) | (c("enabled") & (c("transforms") > 0) & (F.abs(c("effective_multiplier") - times) < 1e-9))
+    return _criteria(one_row(w, g, p, told), [
         ("SC-001", clean, 1.0, c("clean") == c("orig"), F.lit(True)),
         ("SC-002", none("n_tr", tr), 1.0, c("ok_tr") == c("n_tr"), c("n_tr") > 0),
         ("SC-003", none("n_hu", hu), 1.0, c("ok_hu") == c("n_hu"), c("n_hu") > 0),
         ("SC-006", none("var", traced), 1.0, c("traced") == c("var"), c("var") > 0),
-        ("SC-007", F.lit(1.0), 1.0, F.lit(True), c("acc_var") > 0),
+        ("SC-007", F.when(covered, 1.0).otherwise(0.0), 1.0, covered, c("acc_var") > 0),
         ("SC-009", F.when(apart, 1.0).otherwise(0.0), 1.0, apart, F.lit(True)),
     ])
 
@@ -283,7 +286,7 @@ def criteria_score_aug(m: DataFrame, notes: DataFrame, budgets: dict[str, float]
 def criteria_volume(pairs: DataFrame, note_levels: DataFrame, checks: DataFrame) -> DataFrame:
     """One row: variants whose note levels spread wider than their base's, with equal labels.
 
-    ``note_levels`` is (sample_id, note_idx, rms) of variants and bases.
+    ``pairs`` must be made with accepted bases. ``note_levels`` is (sample_id, note_idx, rms) of variants and bases.
     """
     spread = note_levels.groupBy("sample_id").agg(F.stddev_pop("rms").alias("sd"), F.count(F.lit(1)).alias("n"))
     base = spread.select(F.col("sample_id").alias("base_sample_id"), F.col("sd").alias("b_sd"), F.col("n").alias("b_n"))
@@ -407,23 +410,18 @@ def merge_runs(runs: DataFrame, shard_size: int = 1000) -> DataFrame:
 def stage_cap(samples: DataFrame, specs: list[str]) -> DataFrame:
     """First N samples by path of every requested dataset (``id`` or ``id:cap``), renamed.
 
-    Entries holding ``=`` are skipped, unknown ids match nothing. The rank filter is pushed below
-    the shuffle, so at most N rows per dataset leave each task.
+    Entries holding ``=`` are skipped, unknown ids match nothing. A dataset that is named more than once
+    counts once, with its largest cap or none. At most N rows of a capped dataset leave each task.
     """
-    uncapped, capped = [], {}
+    caps: dict[str, float] = {}
     for spec in specs:
         rid, _, cap = spec.partition(":")
-        if "=" in rid:
-            continue
-        if cap:
-            capped[rid] = int(cap)
-        else:
-            uncapped.append(rid)
-    out = samples.filter(F.col("dataset").isin(*uncapped))
-    for rid, cap in capped.items():
-        first = Window.partitionBy("dataset").orderBy("path")
-        part = samples.filter(F.col("dataset") == rid).withColumn("_k", F.row_number().over(first))
-        out = out.unionByName(part.filter(F.col("_k") <= cap).drop("_k"))
+        if "=" not in rid:
+            caps[rid] = max(caps.get(rid, 0), int(cap) if cap else float("inf"))
+    out = samples.filter(F.col("dataset").isin(*[rid for rid, cap in caps.items() if cap == float("inf")]))
+    for rid, cap in caps.items():
+        if cap < float("inf"):
+            out = out.unionByName(samples.filter(F.col("dataset") == rid).orderBy("path").limit(cap))
     return out.withColumn("staged", F.concat_ws("__", "dataset", "sample_id"))
 
 

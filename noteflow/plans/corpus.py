@@ -149,6 +149,8 @@ def _(t: Tables):
 
 VIEWS["bases"] = "SELECT score_id AS base_score_id, lane, voice_id, arg_max(sample_id, ord) AS base_sample_id FROM @manifest WHERE base_score_id IS NULL AND lane <> 'score_augmentation' GROUP BY ALL"
 VIEWS["vpairs"] = "SELECT v.*, base_sample_id FROM @manifest v LEFT JOIN @bases b USING (base_score_id, lane, voice_id) WHERE base_score_id IS NOT NULL"
+VIEWS["bases_accepted"] = VIEWS["bases"].replace("WHERE", "WHERE status = 'accepted' AND")
+VIEWS["vpairs_accepted"] = VIEWS["vpairs"].replace("@bases", "@bases_accepted")
 
 
 @query("variant_base_pairs", "SELECT sample_id, base_sample_id FROM @vpairs")
@@ -228,7 +230,7 @@ def _(t: Tables):
 @query(
     "stage_cap",
     """SELECT dataset || '__' || sample_id AS staged, path FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY path) AS k FROM (
-    SELECT 'd' || (o_custkey % 4) AS dataset, 'r' || o_orderkey AS sample_id, 'x/' || o_orderkey || '/audio' AS path FROM orders)) WHERE dataset = 'd1' OR (dataset = 'd2' AND k <= 25)""",
+    SELECT 'd' || (o_custkey % 4) AS dataset, 'r' || o_orderkey AS sample_id, 'x/' || o_orderkey || '/audio' AS path FROM orders)) WHERE dataset = 'd1' OR (dataset = 'd2' AND k <= 25) OR (dataset = 'd3' AND k <= 1500)""",
 )
 def _(t: Tables):
     k = F.col("o_orderkey").cast("string")
@@ -236,7 +238,7 @@ def _(t: Tables):
         F.concat(F.lit("d"), (F.col("o_custkey") % 4).cast("string")).alias("dataset"), F.concat(F.lit("r"), k).alias("sample_id"),
         F.concat(F.lit("x/"), k, F.lit("/audio")).alias("path"),
     )
-    return M.stage_cap(s, ["d1", "d2:25", "RELABEL=1", "unknown"]).select("staged", "path")
+    return M.stage_cap(s, ["d1", "d1:5", "d2:25", "d3:1500", "d3:2", "RELABEL=1", "unknown"]).select("staged", "path")
 
 
 @query(

@@ -177,14 +177,15 @@ def _(t: Tables):
     "criteria_score_aug",
     """WITH w AS (SELECT count(*) FILTER (orig) AS orig, count(*) FILTER (orig AND score_aug_axis IS NULL AND score_aug_profile IS NULL AND NOT aug) AS clean, count(*) FILTER (v) AS nv,
       count(*) FILTER (v AND score_aug_profile <> '' AND coalesce(score_aug_transform, '') <> '' AND score_aug_seed IS NOT NULL AND (score_path = '' OR aug)) AS traced, count(*) FILTER (score_path <> '' AND ((v AND NOT aug) OR (orig AND aug))) AS mis,
-      count(*) FILTER (status = 'accepted' AND v) AS av, count(*) FILTER (status = 'accepted' AND score_aug_axis = 'transpose') AS ntr, count(*) FILTER (score_aug_axis = 'humanize') AS nhu
+      count(*) FILTER (status = 'accepted' AND v) AS av, count(*) FILTER (status = 'accepted' AND NOT v) AS ao, count(*) FILTER (status = 'accepted' AND score_aug_axis = 'transpose') AS ntr, count(*) FILTER (score_aug_axis = 'humanize') AS nhu
       FROM (SELECT *, base_score_id IS NOT NULL AS v, base_score_id IS NULL AND lane <> 'score_augmentation' AS orig, contains(score_path, 'augmented/') AS aug FROM @manifest)),
     g AS (SELECT count(*) FILTER (status = 'accepted' AND score_aug_axis = 'transpose' AND base_sample_id IS NOT NULL AND same_count AND pitch_exact AND timing_same) AS tr,
       count(*) FILTER (score_aug_axis = 'humanize' AND n_notes > 0 AND valid AND (NOT (base_sample_id IS NOT NULL AND coalesce(same_count, false)) OR in_budget)) AS hu FROM @vpairs LEFT JOIN @vchecks USING (sample_id)),
     c AS (SELECT count(*) AS col FROM (SELECT path FROM (SELECT score_path AS path FROM @manifest UNION ALL SELECT audio_path FROM @manifest) WHERE path <> '' GROUP BY path HAVING count(*) > 1)),
-    z AS (SELECT * FROM w, g, c)
+    k AS (SELECT count(DISTINCT score_aug_transform) AS tf, count(*) / count(*) FILTER (base_score_id IS NULL) AS mult FROM @manifest WHERE status = 'accepted'),
+    z AS (SELECT * FROM w, g, c, k)
     SELECT 'SC-001' AS sc, round(clean / orig, 6)::DOUBLE AS value, 1e0 AS threshold, clean = orig AS passed, true AS gated FROM z UNION ALL SELECT 'SC-002', round(tr / ntr, 6), 1, tr = ntr, ntr > 0 FROM z UNION ALL SELECT 'SC-003', round(hu / nhu, 6), 1, hu = nhu, nhu > 0 FROM z
-    UNION ALL SELECT 'SC-006', round(traced / nv, 6), 1, traced = nv, nv > 0 FROM z UNION ALL SELECT 'SC-007', 1, 1, true, av > 0 FROM z UNION ALL SELECT 'SC-009', CASE WHEN col = 0 AND mis = 0 THEN 1 ELSE 0 END, 1, col = 0 AND mis = 0, true FROM z""",
+    UNION ALL SELECT 'SC-006', round(traced / nv, 6), 1, traced = nv, nv > 0 FROM z UNION ALL SELECT 'SC-007', CASE WHEN av = 0 OR (tf > 0 AND abs(mult - (av + ao) / ao) < 1e-9) THEN 1 ELSE 0 END, 1, av = 0 OR (tf > 0 AND abs(mult - (av + ao) / ao) < 1e-9), av > 0 FROM z UNION ALL SELECT 'SC-009', CASE WHEN col = 0 AND mis = 0 THEN 1 ELSE 0 END, 1, col = 0 AND mis = 0, true FROM z""",
 )
 def _(t: Tables):
     return M.criteria_score_aug(t.manifest, stored_notes(t), {"prof": 0.03}).withColumn("value", F.round("value", 6))
@@ -199,7 +200,7 @@ FROM @manifest m JOIN @notes n ON n.score_id = coalesce(m.base_score_id, m.score
     """WITH s AS (SELECT sample_id, stddev_pop(rms) AS sd, count(*) AS n FROM @levels GROUP BY sample_id)
     SELECT *, round(CASE WHEN n_vol = 0 THEN 1 ELSE widened / n_vol END, 6) AS value, widened = n_vol AND labels_ok = n_vol AS passed FROM (
     SELECT count(*) AS n_vol, count(*) FILTER (a.n > 1 AND b.n > 1 AND a.sd > b.sd + 1e-9) AS widened, count(*) FILTER (base_sample_id IS NOT NULL AND timing_same AND pitch_exact AND same_count) AS labels_ok
-    FROM @vpairs v LEFT JOIN s a ON a.sample_id = v.sample_id LEFT JOIN s b ON b.sample_id = v.base_sample_id LEFT JOIN @vchecks c ON c.sample_id = v.sample_id WHERE status = 'accepted' AND score_aug_axis = 'volume')""",
+    FROM @vpairs_accepted v LEFT JOIN s a ON a.sample_id = v.sample_id LEFT JOIN s b ON b.sample_id = v.base_sample_id LEFT JOIN @vchecks c ON c.sample_id = v.sample_id WHERE status = 'accepted' AND score_aug_axis = 'volume')""",
 )
 def _(t: Tables):
     m = t.manifest
@@ -208,7 +209,7 @@ def _(t: Tables):
     ms = F.col("onset_ms")
     level = F.when(F.col("base"), F.lit(0.1) + ms % 7 / 100.0).otherwise(F.lit(0.1) + ms % (F.lit(7) + F.col("ord") % 9) / 90.0)
     levels = ref.join(rows, "score_id").select("sample_id", "note_idx", level.alias("rms"))
-    pairs = M.variant_base_pairs(m)
+    pairs = M.variant_base_pairs(m, accepted_bases=True)
     checks = M.variant_note_checks(pairs, stored_notes(t), {"prof": 0.03})
     return M.criteria_volume(pairs, levels, checks).withColumn("value", F.round("value", 6))
 

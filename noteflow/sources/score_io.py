@@ -20,8 +20,11 @@ def _number(c: Column) -> Column:
     return plain.when(c.rlike(NOT_A_LENGTH), F.regexp_replace(F.lower(c), "^[+]", "").cast("double"))
 
 
-def parse_score_lines(lines: DataFrame, path: str = "path", text: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(notes, rejects) of score lines; blank, short and non-numeric lines are skipped."""
+def parse_score_lines(lines: DataFrame, path: str = "path", text: str = "value", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(notes, rejects) of score lines; blank, short and non-numeric lines are skipped.
+
+    The score is named by the stem of its file; ``keep`` lists columns that notes carry on.
+    """
     stripped = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
     cells = F.when(stripped.contains("\t"), F.transform(F.split(stripped, "\t"), lambda c: F.trim(c))).otherwise(
         F.split(stripped, r"\s+")
@@ -35,21 +38,37 @@ def parse_score_lines(lines: DataFrame, path: str = "path", text: str = "value")
         _number(get(1)).alias("onset_s"), _number(get(2)).alias("offset_s"),
         F.when(~F.isnan(pitch) & (F.abs(pitch) < 2**31), pitch.cast("int")).alias("pitch_midi"),
         F.nullif(get(4), F.lit("")).alias("lyric"),
-        pitch.isNotNull().alias("_numeric"),
+        pitch.isNotNull().alias("_numeric"), *[c for c in keep if c != "path"],
     ).filter("onset_s IS NOT NULL AND offset_s IS NOT NULL AND _numeric").drop("_numeric")
     labelled = parsed.withColumn("reason", reject_reason())
-    notes = labelled.filter("reason IS NULL").drop("reason", "line", "path")
+    notes = labelled.filter("reason IS NULL").drop("reason", "line", *([] if "path" in keep else ["path"]))
     return notes, labelled.filter("reason IS NOT NULL").select("path", "line", "reason")
 
 
+def score_name(path: Column, root: str) -> Column:
+    """The score of a file: its ``score_id=`` folder, else its path below ``root`` without the extension.
+
+    A file named score.tsv stands for its folder.
+    """
+    plain = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+    folder = F.regexp_extract(plain, r"/score_id=([^/]*)/", 1)
+    top = root.rstrip("/").rsplit(":", 1)[-1].lstrip("/")
+    below = F.element_at(F.split(plain, "\\Q" + top + "/\\E", 2), -1)
+    stem = F.regexp_replace(below, r"(?<=[^/])\.[^./]*$", "")
+    return F.when(folder != "", F.url_decode(F.regexp_replace(folder, r"\+", "%2B"))).otherwise(F.regexp_replace(stem, r"(?<=[^/])/score$", ""))
+
+
 def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(numbered notes, rejects) of every score file under ``path``."""
+    """(numbered notes, rejects) of every score file under ``path``; notes that tie keep their order in the file."""
     from noteflow.operators.scores import sort_notes
 
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    notes, rejects = parse_score_lines(lines)
-    # Equal (onset, offset) pairs are ordered by pitch, since text rows carry no position.
-    return sort_notes(notes.withColumn("note_idx", F.col("pitch_midi"))), rejects
+    at = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), "value"]
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(*at)
+    # Inside one block of a file this number grows with the lines.
+    lines = lines.withColumn("_line", F.struct("_block", F.monotonically_increasing_id().alias("n")))
+    notes, rejects = parse_score_lines(lines, keep=("path", "_line"))
+    named = notes.withColumn("score_id", score_name(F.col("path"), path)).withColumn("note_idx", F.col("_line"))
+    return sort_notes(named.drop("path", "_line")), rejects
 
 
 def score_lines(notes: DataFrame) -> DataFrame:

@@ -201,6 +201,19 @@ def test_score_files_round_trip(spark, notes, tmp_path):
     out = str(tmp_path / "out")
     score_io.write_scores(got, out)
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["0.200000\t0.500000\t60\tla", "0.600000\t0.900000\t62\t"]
+    made = notes({"a b+c%": [(0.5, 0.9, 61), (0.5, 0.9, 60, "la")], "x/y": [(0.1, 0.2, 70)], "p.1": [(0.1, 0.2, 71)]})
+    score_io.write_scores(made, str(tmp_path / "made"))
+    back, _ = score_io.read_scores(spark, str(tmp_path / "made"))
+    names = ("score_id", "note_idx", "onset_s", "offset_s", "pitch_midi", "lyric")
+    assert rows(back, *names) == rows(made, *names)
+
+
+def test_score_identity(spark, tmp_path):
+    for name in ("s1/score.tsv", "s2/score.tsv", "set/one.tsv", "other/one.tsv"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("0.2\t0.5\t62\n0.2\t0.5\t60\n")
+    got, _ = score_io.read_scores(spark, str(tmp_path))
+    assert rows(got, "score_id", "note_idx", "pitch_midi") == sorted((s, k, p) for s in ("s1", "s2", "set/one", "other/one") for k, p in ((0, 62), (1, 60)))
 
 
 def test_pitch_functions(spark):
