@@ -13,6 +13,7 @@ from noteflow.plans.views import VIEWS, seed_sql
 from noteflow.sources import manifest_io as IO
 from noteflow.sources import score_io
 from noteflow.sources.adapters import Tables
+from noteflow.streaming import manifest_stream as ST
 
 VIEWS["acc"] = "SELECT * FROM @manifest WHERE status = 'accepted'"
 
@@ -380,8 +381,13 @@ def _(t: Tables):
     return W.dedupe_voices(s).select("voice_id", "source_order", "path", "license")
 
 
-@query("write_report")
+@query(
+    "write_report",
+    """SELECT CAST(to_json({'source': source, 'total': total, 'train': train, 'val': val}) AS VARCHAR) AS value FROM (
+    SELECT source, count(*) AS total, count(*) FILTER (side = 'train') AS train, count(*) FILTER (side = 'val') AS val FROM @split GROUP BY source)""",
+)
 def _(t: Tables):
-    """Per-source counts as the JSON lines a report file holds."""
-    report = M.per_source_counts(M.val_split(t.manifest, 0.2, 7))
-    return score_io.report_lines(report)
+    """Per-source counts, written as a report file and read back."""
+    folder = f"{ST._workdir(t.spark)}/report"
+    score_io.write_report(M.per_source_counts(M.val_split(t.manifest, 0.2, 7)), folder)
+    return t.spark.read.text(folder)
