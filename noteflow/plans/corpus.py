@@ -280,13 +280,21 @@ def _(t: Tables):
 
 # --- work ------------------------------------------------------------------------------------
 
-VIEWS["lane_voices"] = """SELECT voice_id, CASE kind WHEN 'deterministic_donor' THEN 'deterministic' WHEN 'svs_voicebank' THEN 'svs' END AS lane FROM @voices WHERE kind <> 'voice_conversion'"""
+# The product of scores and voices is the result, so the voices are a table that does not grow with the scores.
+VIEWS["singers"] = "SELECT 'v' || n_nationkey AS voice_id, CASE n_nationkey % 3 WHEN 0 THEN 'deterministic_donor' WHEN 1 THEN 'svs_voicebank' ELSE 'voice_conversion' END AS kind FROM nation"
+VIEWS["lane_voices"] = """SELECT voice_id, CASE kind WHEN 'deterministic_donor' THEN 'deterministic' WHEN 'svs_voicebank' THEN 'svs' END AS lane FROM @singers WHERE kind <> 'voice_conversion'"""
 VIEWS["work"] = f"""
 SELECT sample_id, score_id, voice_id, lane, {seed_sql("'11'", 'score_id', 'voice_id', 'lane')} AS seed FROM (SELECT score_id, voice_id, lane, score_id || '_singer_' || voice_id || CASE WHEN lane = 'deterministic' THEN '' ELSE '_' || lane END AS sample_id FROM @scores, @lane_voices)"""
 
 
+def singers(t: Tables):
+    k = F.col("n_nationkey")
+    kind = F.when(k % 3 == 0, "deterministic_donor").when(k % 3 == 1, "svs_voicebank").otherwise("voice_conversion")
+    return t.raw("nation").select(F.concat(F.lit("v"), k.cast("string")).alias("voice_id"), kind.alias("kind"))
+
+
 def work(t: Tables):
-    return W.work_list(t.scores.select("score_id"), t.voices, ["deterministic", "svs"], 11)
+    return W.work_list(t.scores.select("score_id"), singers(t), ["deterministic", "svs"], 11)
 
 
 @query("work_list", "SELECT lane, voice_id, count(*) AS n, min(sample_id) AS first, max(sample_id) AS last, sum(seed % 1000003)::BIGINT AS seeds FROM @work GROUP BY lane, voice_id")
