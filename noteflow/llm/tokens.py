@@ -10,6 +10,7 @@ whose class could differ between Unicode versions go to the tokenizer whole.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ LINES = 1000
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
+_PLAIN = re.compile(r" ?\S+").fullmatch
+
 _coders: dict[str, ByteCoder] = {}
 
 
@@ -68,7 +71,7 @@ class ByteCoder:
         self.tokenizer.encode_special_tokens = True
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else -1
-        self.known: dict[str, bytes] = {}
+        self.pieces = Pieces()
         self.classes = _classes()
         self.inverse = np.uint64(pow(int(_HASH), -1, 1 << 64))
         self.up = self.down = np.ones(1, np.uint64)
@@ -78,10 +81,10 @@ class ByteCoder:
 
     def _new(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of pieces. Those without white space inside go through the tokenizer as lines of one text."""
-        plain = [p for p in pieces if not any(c.isspace() for c in p[1:]) and (p[0] == " " or not p[0].isspace()) and len(p.strip())]
-        for at in range(0, len(plain), LINES):
-            lines = plain[at : at + LINES]
-            ids = np.asarray(self.tokenizer.encode("\n".join(lines), add_special_tokens=False).ids, "<u4")
+        plain = [p for p in pieces if _PLAIN(p)]
+        pages = [plain[at : at + LINES] for at in range(0, len(plain), LINES)]
+        for lines, coded in zip(pages, self._whole(["\n".join(p) for p in pages])):
+            ids = np.frombuffer(coded, "<u4")
             breaks = np.flatnonzero(ids == self.line)
             if len(breaks) == len(lines) - 1:
                 edges = [-1, *breaks.tolist(), len(ids)]
@@ -152,23 +155,92 @@ class ByteCoder:
         sizes = np.diff(np.append(cuts, n))
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=sums[1:])
-        hashes = (sums[cuts + sizes] - sums[cuts]) * self.down[cuts] + sizes.astype(np.uint64) * self.inverse
-        _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
-        step = cuts[first][group] - cuts
-        if not (sizes == sizes[first][group]).all() or not (chars == chars[np.arange(n) + np.repeat(step, sizes)]).all():
-            first, group = np.arange(len(cuts)), np.arange(len(cuts))
-        pieces = [big[a:b] for a, b in zip(cuts[first].tolist(), (cuts[first] + sizes[first]).tolist())]
-        if len(self.known) + len(pieces) > MOST_PIECES:
-            self.known.clear()
-        new = list({p for p in pieces if p not in self.known})
-        self.known.update(self._new(new))
-        coded = [self.known[p] for p in pieces]
-        flat = np.frombuffer(b"".join(coded), "<u4")
-        count = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        start = np.cumsum(count) - count
-        lengths = count[group]
-        ahead = np.cumsum(lengths) - lengths
-        return flat[np.arange(lengths.sum()) + np.repeat(start[group] - ahead, lengths)], lengths
+        hashes = ((sums[cuts + sizes] - sums[cuts]) * self.down[cuts] + sizes.astype(np.uint64)) * _HASH
+        at = self.pieces.find(hashes)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            new, first, group = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            starts = cuts[miss[first]]
+            texts = [big[a:b] for a, b in zip(starts.tolist(), (starts + sizes[miss[first]]).tolist())]
+            coded = dict(self._new(texts))
+            if self.pieces.n + len(texts) > MOST_PIECES:
+                # Full: begin anew, unless this batch alone has too many.
+                again, self.pieces = self.pieces.n > 0, Pieces()
+                return self._ids(big, chars, cuts) if again else self._plain(big, cuts, sizes)
+            at[miss] = self.pieces.add(new, texts, [coded[t] for t in texts])[group]
+        return self.pieces.read(at, chars, cuts, sizes) or self._plain(big, cuts, sizes)
+
+    def _plain(self, big: str, cuts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without what is remembered: for more pieces than that may be, and for equal hashes of different pieces."""
+        ids = self._whole([big[a:b] for a, b in zip(cuts.tolist(), (cuts + sizes).tolist())])
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids])
+
+
+class Pieces:
+    """Remembered pieces: characters and ids, found by hash in one of two slots."""
+
+    def __init__(self, bits: int = 21):
+        self.n, self.bits = 0, bits
+        self.hashes, self.slots = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        self.ids, self.chars = Grown("<u4"), Grown("<u4")
+        self.id_ends, self.char_ends = Grown(np.int64), Grown(np.int64)
+        self.id_ends.add(np.zeros(1, np.int64))
+        self.char_ends.add(np.zeros(1, np.int64))
+
+    def _both(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64), ((hashes >> np.uint64(20)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece, or -1."""
+        one, two = self._both(hashes)
+        at = np.where(self.hashes[one] == hashes, self.slots[one], -1)
+        rest = np.flatnonzero(at < 0)
+        two = two[rest]
+        at[rest] = np.where(self.hashes[two] == hashes[rest], self.slots[two], -1)
+        return at
+
+    def add(self, hashes: np.ndarray, texts: list[str], ids: list[bytes]) -> np.ndarray:
+        numbers = np.arange(self.n, self.n + len(texts), dtype=np.int32)
+        one, two = self._both(hashes)
+        slot = np.where(self.slots[one] < 0, one, two)
+        self.hashes[slot], self.slots[slot] = hashes, numbers
+        self.n += len(texts)
+        self.ids.add(np.frombuffer(b"".join(ids), "<u4"))
+        self.chars.add(np.frombuffer("".join(texts).encode("utf-32-le"), "<u4"))
+        self.id_ends.add(self.id_ends.all()[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4))
+        self.char_ends.add(self.char_ends.all()[-1] + np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
+        return numbers
+
+    def read(self, at: np.ndarray, chars: np.ndarray, cuts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and how many of each piece, after comparing the characters; None if any differ."""
+        ends, begins = self.char_ends.all()[1:][at], self.char_ends.all()[:-1][at]
+        if not (ends - begins == sizes).all() or not (self.chars.all()[_spread(begins, sizes)] == chars).all():
+            return None
+        begins = self.id_ends.all()[:-1][at]
+        lengths = self.id_ends.all()[1:][at] - begins
+        return self.ids.all()[_spread(begins, lengths)], lengths
+
+
+class Grown:
+    """An array that grows in place."""
+
+    def __init__(self, kind):
+        self.data, self.n = np.empty(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.empty(self.n + 2 * len(more), self.data.dtype)])
+        self.data[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    def all(self) -> np.ndarray:
+        return self.data[: self.n]
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... for sizes[0] places, then begins[1], ..."""
+    ahead = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(begins - ahead, sizes)
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
