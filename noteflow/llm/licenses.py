@@ -70,7 +70,7 @@ VERBS = ["licensed under ", "released under ", "distributed under ", "made avail
 OTHERS = ["SPDX-License-Identifier: {}", "License: {}", "Use of this material is governed by {}.", "See {} for details."]
 
 CLASSES = ["none", "unknown", *NAMES]
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 #: Ordinary paragraphs to learn from.
 SAMPLE = 4000
 LICENCE_WORDS = r"(?i)licen[sc]|copyright|spdx|creative commons|public domain|permission is|redistribution"
@@ -110,7 +110,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     """The regression, the cut of a family and the cut of a statement of any kind. At most ``SAMPLE`` paragraphs of the corpus are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
     plain = paragraphs(docs, doc_id, text).filter(~F.col("paragraph").rlike(LICENCE_WORDS)).select(F.substring("paragraph", 1, 4000).alias("paragraph"))
-    plain = plain.withColumn("_h", F.xxhash64("paragraph")).orderBy("_h").limit(SAMPLE)
+    # Few more rows than the sample reach its sort: about six for each row of it, and as many as a document has lines.
+    rate = min(1.0, 6 * SAMPLE / max(1, docs.count()))
+    near = F.pmod(F.xxhash64("paragraph", F.lit("sample")), F.lit(1 << 20)) < int(rate * (1 << 20))
+    plain = plain.filter(near).withColumn("_h", F.xxhash64("paragraph")).orderBy("_h").limit(SAMPLE).coalesce(1)
     plain = scratch.keep(plain, "plain").select("paragraph", F.col("_h"), F.pmod(F.col("_h"), F.lit(997)).alias("k"))
     made = spark.createDataFrame([(t, c, k) for k, (t, c) in enumerate(statements())], "paragraph string, label int, n int")
     tails = plain.groupBy("k").agg(F.min("paragraph").alias("tail"))
@@ -118,7 +121,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     mixed = made.join(F.broadcast(tails), F.col("n") % 997 == F.col("k")).select(F.concat_ws(" ", "paragraph", F.substring("tail", 1, 600)).alias("paragraph"), "label")
     none = plain.select("paragraph", F.lit(0).alias("label"))
     rows = none.union(made.select("paragraph", "label")).union(mixed)
-    rows = scratch.keep(_features(rows).withColumn("kept_back", F.pmod(F.xxhash64("paragraph"), F.lit(3)) == 0).select("label", "features", "kept_back"), "examples")
+    rows = scratch.keep(_features(rows.coalesce(1)).withColumn("kept_back", F.pmod(F.xxhash64("paragraph"), F.lit(3)) == 0).select("label", "features", "kept_back"), "examples")
     model = LogisticRegression(maxIter=40, regParam=4e-4, elasticNetParam=0.9, family="multinomial").fit(rows.filter("NOT kept_back").withColumn("label", F.col("label").cast("double")))
     told = model.transform(rows.filter("kept_back")).withColumn("_p", vector_to_array("probability"))
     family = F.array_max(F.slice("_p", 3, len(NAMES)))
