@@ -154,9 +154,11 @@ def _compare(key: tuple, table: pa.Table, cosine: float) -> pa.Table:
 def pivots(vectors: DataFrame, sample: int, most: int) -> dict[int, np.ndarray]:
     """For each vector length the pivots, as unit vectors in farthest-first order.
 
-    At most ``sample`` vectors come to the driver, those with the smallest digests.
+    At most ``sample`` vectors come to the driver, those with the smallest digests of about twice as many.
     """
-    rows = vectors.select("dim", "vector").withColumn("_h", F.xxhash64("vector")).orderBy("_h").limit(sample).drop("_h").toArrow()
+    rate = min(1.0, 2 * sample / max(1, vectors.count()))
+    near = vectors.select("dim", "vector").withColumn("_h", F.xxhash64("vector")).filter(F.pmod("_h", F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
+    rows = near.orderBy("_h").limit(sample).drop("_h").toArrow()
     out = {}
     for dim in set(rows.column("dim").to_pylist()):
         x = _unit(rows.filter(pa.compute.equal(rows.column("dim"), dim)).column("vector"))
