@@ -25,6 +25,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), offsets
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, which bounds what a worker makes of them at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class Filters:
     """``banks``: (width in units, number of filters) pairs."""
 

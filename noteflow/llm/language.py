@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteflow.llm.bytenet import Adam, Filters, utf8
+from noteflow.llm.bytenet import Adam, Filters, slices, utf8
 from noteflow.llm.store import documents, fold
 
 SAMPLE = 400
@@ -105,7 +105,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     net = train(docs, fold("_id", FOLDS) == HELD_OUT, doc_id, text, lang)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = net.probabilities(*utf8(batch.column("text")))
             best = pa.array(np.array(net.languages, object)[p.argmax(1)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("known"), best, pa.array(p.max(1))], names=["doc_id", "known", "lang_pred", "score"])

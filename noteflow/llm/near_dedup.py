@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noteflow.llm import shingles as S
-from noteflow.llm.bytenet import utf8
+from noteflow.llm.bytenet import slices, utf8
 from noteflow.llm.graph import components, local_roots
 from noteflow.llm.store import Scratch, documents, pick_rows, row_name
 from noteflow.operators.scan import join_dimension
@@ -46,7 +46,7 @@ def _sketches(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """(rid, doc_id, _d, _k, n, set_a, set_b, bands) of each document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, a, b, bands = [], [], [], []
             for s in S.shingle_sets(*utf8(batch.column("text")), width):
                 n.append(len(s))
@@ -69,7 +69,7 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
     """(rep, members, big, shingles, values) of rows (rep, members, big, text)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(S.shingle_sets(*utf8(batch.column("text")), width))
             values = [S.signature(s).tobytes() for s in sets]
             columns = [batch.column(c) for c in ("rep", "members", "big")]

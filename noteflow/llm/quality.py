@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteflow.llm.bytenet import Adam, Filters, utf8
+from noteflow.llm.bytenet import Adam, Filters, slices, utf8
 from noteflow.llm.store import documents, fold
 
 SAMPLE = 1000
@@ -141,7 +141,7 @@ def _scored(rows: DataFrame, net: QualityNet | float) -> DataFrame:
     """(doc_id, score) of rows of (doc_id, text)."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = np.full(batch.num_rows, net) if isinstance(net, float) else net.score(*utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
@@ -162,7 +162,7 @@ def accepted(docs: DataFrame, net: QualityNet | float, text: str = "text") -> Da
     at = docs.columns.index(text)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = np.full(batch.num_rows, net) if isinstance(net, float) else net.score(*utf8(batch.column(at)))
             yield batch.filter(pa.array(p >= THRESHOLD))
 

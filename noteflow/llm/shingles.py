@@ -11,7 +11,7 @@ VALUES, BAND, STEP = 128, 4, 16
 _WORD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes hashed at once; longer texts go alone.
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 19
 
 _up = np.ones(1, np.uint64)
 _down = np.ones(1, np.uint64)

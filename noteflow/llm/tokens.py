@@ -17,14 +17,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from noteflow.llm.bytenet import slices
+
 #: White space of the cutting pattern, below U+2070.
 SPACES = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F)
 #: Endings that the pattern cuts off after an apostrophe.
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 LETTER, NUMBER, SPACE, OTHER, UNSURE = range(5)
 #: Characters cut at once, and distinct pieces remembered by one worker.
-BATCH_CHARS = 1 << 21
-MOST_PIECES = 500_000
+BATCH_CHARS = 1 << 19
+MOST_PIECES = 300_000
 #: Distinct pieces that go through the tokenizer as one text.
 LINES = 1000
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
@@ -179,7 +181,7 @@ class ByteCoder:
 class Pieces:
     """Remembered pieces: characters and ids, found by hash in one of two slots."""
 
-    def __init__(self, bits: int = 21):
+    def __init__(self, bits: int = 20):
         self.n, self.bits = 0, bits
         self.hashes, self.slots = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
         self.ids, self.chars = Grown("<u4"), Grown("<u4")
@@ -287,6 +289,6 @@ def _cuts(chars: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], vocabulary: str | None = None) -> Iterator[tuple[pa.RecordBatch, Iterator[np.ndarray]]]:
-    """Every batch with the ids of its ``text`` column; null counts as empty."""
-    for batch in batches:
+    """Every batch, some rows at a time, with the ids of its ``text`` column; null counts as empty."""
+    for batch in slices(batches):
         yield batch, coder(vocabulary).encode([t or "" for t in batch.column("text").to_pylist()])
