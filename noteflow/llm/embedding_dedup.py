@@ -5,7 +5,8 @@ tree has two storeys. The upper one is shared by the cluster: a few pivots, in t
 farthest-first traversal of a bounded sample, so every prefix of them is a coarser level. Each vector belongs
 to its nearest pivot among as many as its label needs. Pivots of one label are compared first; a pair is
 dropped when the pivots are further apart than the threshold plus both covering radii. What is left is
-cut into blocks of bounded size, and one task compares two blocks.
+cut into blocks of bounded size, and one task compares two blocks. A vector length that the sample doesn't
+hold has no pivots; its vectors stay one node, of which all block pairs are compared.
 
 The lower storey is a cover tree of each block inside a task: nested levels of centres with halving radii,
 and exact covering radii. Two trees are descended together, level by level, and node pairs whose bound
@@ -152,12 +153,13 @@ def _compare(key: tuple, table: pa.Table, cosine: float) -> pa.Table:
 
 
 def pivots(vectors: DataFrame, sample: int, most: int) -> dict[int, np.ndarray]:
-    """For each vector length the pivots, as unit vectors in farthest-first order.
+    """For each vector length of the sample the pivots, as unit vectors in farthest-first order.
 
-    At most ``sample`` vectors come to the driver, those with the smallest digests of about twice as many.
+    At most ``sample`` vectors come to the driver, those with the smallest digests of about twice as many. Digests
+    are of row numbers, so repeated vectors are drawn as often as others. Rare lengths may have no pivots.
     """
     rate = min(1.0, 2 * sample / max(1, vectors.count()))
-    near = vectors.select("dim", "vector").withColumn("_h", F.xxhash64("vector")).filter(F.pmod("_h", F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
+    near = vectors.select("rid", "dim", "vector").withColumn("_h", F.xxhash64("rid")).drop("rid").filter(F.pmod("_h", F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
     rows = near.orderBy("_h").limit(sample).drop("_h").toArrow()
     out = {}
     for dim in set(rows.column("dim").to_pylist()):
@@ -197,6 +199,10 @@ def near_vectors(
             dims, need = batch.column("dim").to_numpy(), batch.column("need").to_numpy()
             node, gap = np.zeros(n, np.int32), np.zeros(n)
             for dim in np.unique(dims):
+                if dim not in top:
+                    # A length without pivots is one node, and no unit vectors are further apart than 2.
+                    gap[dims == dim] = 2.0
+                    continue
                 for k in np.unique(need[dims == dim]):
                     at = np.flatnonzero((dims == dim) & (need == k))
                     d = distances(_unit(batch.column("vector").take(pa.array(at))), top[dim][:k])
@@ -212,9 +218,10 @@ def near_vectors(
     gaps = spark.createDataFrame(gaps, "dim int, p int, q int, apart double")
     a = nodes.select("label", "dim", F.col("node").alias("p"), F.col("chunks").alias("ca"), F.col("radius").alias("ra"))
     b = nodes.select("label", "dim", F.col("node").alias("q"), F.col("chunks").alias("cb"), F.col("radius").alias("rb"))
-    pairs = a.join(b, ["label", "dim"]).filter("p <= q").join(F.broadcast(gaps), ["dim", "p", "q"])
+    pairs = a.join(b, ["label", "dim"]).filter("p <= q").join(F.broadcast(gaps), ["dim", "p", "q"], "left")
     reach = float(np.sqrt(2 - 2 * cosine) + SLACK)
-    pairs = pairs.filter(F.col("apart") <= F.col("ra") + F.col("rb") + reach).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ca") - 1)))
+    # Only the one node of a length without pivots has no distance.
+    pairs = pairs.filter(F.coalesce("apart", F.lit(0.0)) <= F.col("ra") + F.col("rb") + reach).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ca") - 1)))
     pairs = pairs.withColumn("j", F.explode(F.sequence(F.when(F.col("p") == F.col("q"), F.col("i")).otherwise(0), F.col("cb") - 1)))
     pairs = scratch.keep(pairs.select("label", "dim", "p", "q", "i", "j"), "pairs")
     mine = pairs.select("*", F.lit(0).alias("side"), F.col("p").alias("node"), F.col("i").alias("chunk"))

@@ -383,3 +383,17 @@ def test_mixing(odd, none):
 def test_empty_tables(none):
     assert exact_dedup.exact_dedup(none).count() == 0 and exact_dedup.keep_first(none).count() == 0
     assert near_dedup.near_duplicates(none).count() == 0 and near_dedup.keep_first(none).count() == 0
+
+
+@pytest.mark.parametrize("sample", [1, 2000])
+def test_embeddings_unsampled_lengths(spark, sample):
+    """A length that the pivot sample doesn't hold, and a table of one repeated vector, are compared whole."""
+    rows = [(k, [1.0, k % 2 * 1.0, 0.0], 1) for k in range(40)] + [(100 + k, [1.0, 0.0, 0.0, k % 3 * 1.0, 0.0], k % 2) for k in range(30)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), block=4, sample=sample)
+    unit = [np.array(e) / np.linalg.norm(e) for _, e, _ in rows]
+    near = [[j for j, b in enumerate(rows) if len(a[1]) == len(b[1]) and a[2] == b[2] and unit[i] @ unit[j] >= 0.93] for i, a in enumerate(rows)]
+    want = {(a[0], len(near[i]) - 1, rows[near[i][0]][0], near[i][0] == i) for i, a in enumerate(rows)}
+    assert set(map(tuple, got.collect())) == want and got.count() == len(rows)
+    same = spark.range(400).selectExpr("id AS vec_id", "array(1f, 2f, 3f) AS embedding", "1 AS label")
+    got = embedding_dedup.near_vectors(same, block=64, sample=sample)
+    assert {tuple(r) for r in got.collect()} == {(k, 399, 0, k == 0) for k in range(400)}
