@@ -1,7 +1,8 @@
 """Licence scan: a trained paragraph classifier whose findings are confirmed by templates.
 
 Every paragraph (line) of every document goes through a multinomial logistic regression on hashed word
-unigrams and bigrams. Its classes are the licence families, ``unknown`` for licence statements of no known
+unigrams and bigrams, and so do the last ``WRAP`` words before each single line break with the first ``WRAP``
+after it, so a statement wrapped over lines is seen whole wherever it breaks. Blank lines end a statement. Its classes are the licence families, ``unknown`` for licence statements of no known
 family, and ``none``. It is trained here, on statements made from the fixed phrases below and on a bounded
 sample of ordinary paragraphs of the corpus, half of the statements followed by ordinary text.
 
@@ -11,7 +12,7 @@ chance of being any statement that an ordinary paragraph gets there is the other
 cut is confirmed if the paragraph contains enough of the word pairs of one of the family's templates.
 
 All steps are DataFrame operations and the JVM feature and regression classes that come with Spark. Scoring
-is one pass over the table without a shuffle.
+is one pass over the table; only findings are shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noteflow.llm.store import Scratch, documents
@@ -76,6 +77,8 @@ SAMPLE = 4000
 LICENCE_WORDS = r"(?i)licen[sc]|copyright|spdx|creative commons|public domain|permission is|redistribution"
 #: Part of a template's word pairs that a paragraph must contain.
 OVERLAP = 0.8
+#: Words on each side of a line break that are judged together. The longest of ``statements()`` has fewer.
+WRAP = 20
 
 
 def statements() -> list[tuple[str, int]]:
@@ -95,7 +98,11 @@ def _tokens(text: Column) -> Column:
 
 def _features(rows: DataFrame) -> DataFrame:
     """Adds ``words``, ``pairs`` and hashed ``features`` of column ``paragraph``."""
-    rows = NGram(n=2, inputCol="words", outputCol="pairs").transform(rows.withColumn("words", _tokens(F.col("paragraph"))))
+    return _hashed(rows.withColumn("words", _tokens(F.col("paragraph"))))
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    rows = NGram(n=2, inputCol="words", outputCol="pairs").transform(rows)
     rows = rows.withColumn("_terms", F.concat("words", "pairs"))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_terms", outputCol="features").transform(rows).drop("_terms")
 
@@ -106,6 +113,30 @@ def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return lines.filter(F.col("paragraph").rlike(r"\S"))
 
 
+def _after(lines: Column) -> Column:
+    """The first ``WRAP`` words of these lines, up to a blank one, and how many words have come at the end of each line."""
+    def step(acc: Column, line: Column) -> Column:
+        words = F.concat(acc["words"], _tokens(line))
+        more = F.struct(words.alias("words"), F.concat(acc["ends"], F.array(F.size(words))).alias("ends"), line.rlike(r"\S").alias("open"))
+        return F.when(acc["open"] & (F.size(acc["words"]) < WRAP), more).otherwise(acc)
+
+    start = F.struct(F.array().cast("array<string>").alias("words"), F.array().cast("array<int>").alias("ends"), F.lit(True).alias("open"))
+    return F.aggregate(lines, start, step, lambda acc: F.struct(F.slice(acc["words"], 1, WRAP).alias("words"), acc["ends"].alias("ends")))
+
+
+def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, rid, place, joined, words, cut, ends): the words of each line, and those around each line break (``joined``), ``cut`` of them before it."""
+    raw = F.split(F.col(f"`{text}`"), "\r\n|\r|\n")
+    # Exploded on its own, so that the text is split once and not for each line.
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("rid"), F.explode(F.array(raw)).alias("raw"))
+    line = F.transform("raw", lambda x, i: F.struct(i.alias("place"), _tokens(x).alias("words"), _after(F.slice("raw", i + 2, WRAP)).alias("after")))
+    lines = docs.select("doc_id", "rid", F.explode(line).alias("u")).select("doc_id", "rid", "u.place", "u.words", "u.after.ends", F.col("u.after.words").alias("after")).filter("size(words) > 0")
+    lines = lines.withColumn("joined", F.explode(F.when(F.size("after") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    cut = F.least(F.size("words"), F.lit(WRAP))
+    near = F.concat(F.slice("words", F.size("words") - cut + 1, F.lit(WRAP)), "after")
+    return lines.select("doc_id", "rid", "place", "joined", F.when(F.col("joined"), near).otherwise(F.col("words")).alias("words"), cut.alias("cut"), "ends")
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float, float]:
     """The regression, the cut of a family and the cut of a statement of any kind. At most ``SAMPLE`` paragraphs of the corpus are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
@@ -134,27 +165,34 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
 
 def _confirmed(family: Column, pairs: Column) -> Column:
     """The largest part of a template's word pairs that the paragraph holds."""
-    share = F.lit(None).cast("double")
+    return F.coalesce(F.array_max(F.transform(_templates(family), lambda t: _share(t, pairs))), F.lit(0.0))
+
+
+def _share(template: Column, pairs: Column) -> Column:
+    return F.size(F.array_intersect(template["wanted"], pairs)) / F.size(template["wanted"])
+
+
+def _templates(family: Column) -> Column:
+    made = []
     for name, templates in TEMPLATES.items():
-        shares = [F.lit(0.0)]
         for t in templates:
             words = t.split(" ")
             wanted = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
-            shares.append(F.size(F.array_intersect(F.array(*[F.lit(w) for w in wanted]), pairs)) / F.lit(len(wanted)))
-        share = F.when(family == name, F.greatest(*shares)).otherwise(share)
-    return F.coalesce(share, F.lit(0.0))
+            made.append(F.struct(F.lit(name).alias("family"), F.array(*[F.lit(w) for w in wanted]).alias("wanted")))
+    return F.filter(F.array(*made), lambda t: t["family"] == family)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each paragraph that states a licence: doc_id, place, family, predicted, probability, overlap, confirmed.
 
-    ``place`` is the number of the line, from 0. ``predicted`` is ``unknown`` if no family reaches the cut, and
+    ``place`` is the number of the line, from 0; of a statement wrapped over lines, that of its first. ``predicted`` is ``unknown`` if no family reaches the cut, and
     ``family`` also if the template doesn't confirm the prediction.
     A null or empty text has no paragraphs; null ids are kept as they are; repeated rows are each scanned.
     Other columns are ignored; an empty table gives an empty result.
     """
+    scratch = Scratch(docs.sparkSession, "licence-findings")
     model, cut, least = train(docs, doc_id, text)
-    judged = model.transform(_features(paragraphs(docs, doc_id, text)))
+    judged = model.transform(_hashed(units(docs, doc_id, text)))
     judged = judged.filter(1 - vector_to_array("probability")[0] > least)
     # The families of one paragraph share what is not ``none`` or ``unknown``.
     chance = vector_to_array("probability")
@@ -163,8 +201,28 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     likely = F.element_at(names, F.array_position("_p", F.col("probability")).cast("int"))
     best = best.withColumn("family", F.when(F.col("probability") >= cut, likely).otherwise("unknown"))
     best = best.withColumn("overlap", _confirmed(F.col("family"), F.col("pairs"))).withColumn("confirmed", F.col("overlap") >= OVERLAP)
+    # What one side of a break holds by itself is found in its own line.
+    sides = [F.slice("pairs", 1, F.greatest(F.col("cut") - 1, F.lit(0))), F.slice("pairs", F.col("cut") + 1, F.lit(WRAP))]
+    best = best.withColumn("_alone", F.col("joined") & (F.greatest(*[_confirmed(F.col("family"), side) for side in sides]) >= OVERLAP)).filter("NOT _alone")
     family = F.when(F.col("confirmed"), F.col("family")).otherwise("unknown")
-    return best.select("doc_id", "place", family.alias("family"), F.col("family").alias("predicted"), "probability", "overlap", "confirmed")
+    # The line that holds the last word pair of a confirming template.
+    held = F.flatten(F.transform(F.filter(_templates(F.col("family")), lambda t: _share(t, F.col("pairs")) >= OVERLAP), lambda t: t["wanted"]))
+    last = F.array_max(F.transform("pairs", lambda pair, i: F.when(F.array_contains(held, pair), i + 1 - F.col("cut"))))
+    until = F.when(F.col("joined") & F.col("confirmed"), F.col("place") + 1 + F.size(F.filter("ends", lambda e: e <= last)))
+    found = best.select("doc_id", "rid", "place", "joined", until.alias("until"), family.alias("family"), F.col("family").alias("predicted"), "probability", "overlap", "confirmed")
+    return _once(scratch.keep(found, "found")).drop("rid", "joined", "until")
+
+
+def _once(found: DataFrame) -> DataFrame:
+    """Drops what a wrapped statement shows a second time, in its later lines and at the breaks after its first."""
+    by, own = Window.partitionBy("rid").orderBy("place"), Window.partitionBy("rid", "family").orderBy("place")
+    wrapped, first = F.col("joined") & F.col("confirmed"), Window.unboundedPreceding
+    some = lambda what, window: F.coalesce(F.max(what).over(window), F.lit(False))
+    part = F.coalesce(F.max("until").over(by.rangeBetween(first, 0)) >= F.col("place"), F.lit(False))
+    again = F.coalesce(F.max("until").over(own.rangeBetween(first, -1)) > F.col("place"), F.lit(False))
+    told = part | some(~F.col("joined"), by.rangeBetween(0, 1)) | some(wrapped, by.rangeBetween(1, 1)) | some(F.col("joined"), by.rangeBetween(-1, -1))
+    twice = F.when(wrapped, again).when(F.col("confirmed"), F.lit(False)).when(F.col("joined"), told).otherwise(part)
+    return found.withColumn("_twice", twice).filter("NOT _twice").drop("_twice")
 
 
 def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

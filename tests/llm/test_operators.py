@@ -397,3 +397,22 @@ def test_embeddings_unsampled_lengths(spark, sample):
     same = spark.range(400).selectExpr("id AS vec_id", "array(1f, 2f, 3f) AS embedding", "1 AS label")
     got = embedding_dedup.near_vectors(same, block=64, sample=sample)
     assert {tuple(r) for r in got.collect()} == {(k, 399, 0, k == 0) for k in range(400)}
+
+
+def test_wrapped_licences(spark):
+    """Statements over two or three lines, in comments too, are one row with their family at their first line."""
+    notices = {
+        "gpl-3.0": "# This program is free software: you can redistribute it and/or modify it under\n# the terms of the GNU General Public License as published by the Free Software\n"
+                   "# Foundation, either version 3 of the License, or (at your option) any later version.",
+        "apache-2.0": "// This work is licensed under the Apache\n// License, Version 2.0.", "cc-by-nc": "This work is licensed under the Creative\r\nCommons Attribution-NonCommercial\r\n4.0 License.",
+        "lgpl": "This file is released under the GNU\nLesser General Public License.",
+    }
+    rng = random.Random(6)
+    plain = [" ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 8))) for _ in range(60)) for _ in range(200)]
+    rows = [(k, "\n".join([p, "", list(notices.values())[k % 4], "", p[:40]]) if k < 80 else p + "\n" + p[:90]) for k, p in enumerate(plain)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    first = {"gpl-3.0": 3}
+    want = Counter((k, first.get(list(notices)[k % 4], 2), list(notices)[k % 4]) for k in range(80))
+    assert Counter((r.doc_id, r.place, r.family) for r in got if r.confirmed) == want
+    # Only the last line of the third notice, behind its template, may be a row of its own.
+    assert all((r.doc_id % 4, r.place) == (2, 4) for r in got if not r.confirmed)
