@@ -7,8 +7,10 @@ family, and ``none``. It is trained here, on statements made from the fixed phra
 sample of ordinary paragraphs of the corpus, half of the statements followed by ordinary text.
 
 A third of the examples is kept back. The largest probability that a family gets there by mistake, and at
-least 0.5, is one cut: a licence paragraph whose best family stays below it is ``unknown``. The largest
-chance of being any statement that an ordinary paragraph gets there is the other cut: below it nothing is reported. A family above the
+least 0.5, is one cut: a licence paragraph whose best family stays below it is ``unknown``. The chance of being
+any statement that all but 0.5 % of the ordinary paragraphs stay below there (``QUANTILE``), and at least 0.5, is
+the other cut: below it nothing is reported. Paragraphs with a licence word, a family's name or a template's
+word pairs are not taken for ordinary ones. A family above the
 cut is confirmed if the paragraph contains enough of the word pairs of one of the family's templates.
 
 All steps are DataFrame operations and the JVM feature and regression classes that come with Spark. Scoring
@@ -17,6 +19,8 @@ is one pass over the table; only findings are shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
@@ -75,6 +79,8 @@ FEATURES = 1 << 14
 #: Ordinary paragraphs to learn from.
 SAMPLE = 4000
 LICENCE_WORDS = r"(?i)licen[sc]|copyright|spdx|creative commons|public domain|permission is|redistribution"
+#: Part of the ordinary paragraphs that stay below the cut of a statement.
+QUANTILE = 0.995
 #: Part of a template's word pairs that a paragraph must contain.
 OVERLAP = 0.8
 #: Words on each side of a line break that are judged together. The longest of ``statements()`` has fewer.
@@ -92,6 +98,14 @@ def statements() -> list[tuple[str, int]]:
     return out
 
 
+def _named() -> str:
+    """Pattern of the names of all families, however their words are set apart."""
+    names = {tuple(re.findall("[a-z0-9]+", name.lower())) for names in NAMES.values() for name in names}
+    # Longest first; "the" before a name is no part of it.
+    names = sorted({n[n[0] == "the":] for n in names}, key=lambda n: (-len(n), n))
+    return "(?i)(?<![a-z0-9])(?:" + "|".join("[^a-z0-9]+".join(n) for n in names) + ")(?![a-z0-9])"
+
+
 def _tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
@@ -140,11 +154,14 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float, float]:
     """The regression, the cut of a family and the cut of a statement of any kind. At most ``SAMPLE`` paragraphs of the corpus are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
-    plain = paragraphs(docs, doc_id, text).filter(~F.col("paragraph").rlike(LICENCE_WORDS)).select(F.substring("paragraph", 1, 4000).alias("paragraph"))
+    plain = paragraphs(docs, doc_id, text)
     # Few more rows than the sample reach its sort: about six for each row of it, and as many as a document has lines.
     rate = min(1.0, 6 * SAMPLE / max(1, docs.count()))
     near = F.pmod(F.xxhash64("paragraph", F.lit("sample")), F.lit(1 << 20)) < int(rate * (1 << 20))
-    plain = plain.filter(near).withColumn("_h", F.xxhash64("paragraph")).orderBy("_h").limit(SAMPLE).coalesce(1)
+    plain = plain.filter(near).filter(~F.col("paragraph").rlike(LICENCE_WORDS)).filter(~F.col("paragraph").rlike(_named()))
+    plain = plain.select(F.substring("paragraph", 1, 4000).alias("paragraph"))
+    plain = plain.withColumn("_h", F.xxhash64("paragraph")).orderBy("_h").limit(SAMPLE).coalesce(1)
+    plain = _features(plain).filter(~F.exists(_templates(), lambda t: _share(t, F.col("pairs")) >= OVERLAP)).select("paragraph", "_h")
     plain = scratch.keep(plain, "plain").select("paragraph", F.col("_h"), F.pmod(F.col("_h"), F.lit(997)).alias("k"))
     made = spark.createDataFrame([(t, c, k) for k, (t, c) in enumerate(statements())], "paragraph string, label int, n int")
     tails = plain.groupBy("k").agg(F.min("paragraph").alias("tail"))
@@ -158,7 +175,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     family = F.array_max(F.slice("_p", 3, len(NAMES)))
     worst = told.agg(
         F.max(F.when((F.col("prediction") > 1) & (F.col("prediction") != F.col("label")), family)).alias("family"),
-        F.max(F.when(F.col("label") == 0, 1 - F.col("_p")[0])).alias("statement"),
+        F.percentile(F.when(F.col("label") == 0, 1 - F.col("_p")[0]), QUANTILE).alias("statement"),
     ).first()
     return model, *(min(0.99, max(0.5, w or 0.0)) for w in (worst["family"], worst["statement"]))
 
@@ -172,14 +189,15 @@ def _share(template: Column, pairs: Column) -> Column:
     return F.size(F.array_intersect(template["wanted"], pairs)) / F.size(template["wanted"])
 
 
-def _templates(family: Column) -> Column:
+def _templates(family: Column | None = None) -> Column:
+    """Of one family, or all."""
     made = []
     for name, templates in TEMPLATES.items():
         for t in templates:
             words = t.split(" ")
             wanted = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
             made.append(F.struct(F.lit(name).alias("family"), F.array(*[F.lit(w) for w in wanted]).alias("wanted")))
-    return F.filter(F.array(*made), lambda t: t["family"] == family)
+    return F.array(*made) if family is None else F.filter(F.array(*made), lambda t: t["family"] == family)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

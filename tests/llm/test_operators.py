@@ -416,3 +416,16 @@ def test_wrapped_licences(spark):
     assert Counter((r.doc_id, r.place, r.family) for r in got if r.confirmed) == want
     # Only the last line of the third notice, behind its template, may be a row of its own.
     assert all((r.doc_id % 4, r.place) == (2, 4) for r in got if not r.confirmed)
+
+
+def test_licence_footers(spark):
+    """Footers without a licence word are not learned as ordinary text."""
+    footers = {"Released under CC BY-NC 4.0.": "cc-by-nc", "Distributed under GPLv3.": "gpl-3.0", "Released under the MPL 2.0.": "mpl-2.0", "Made available under GPL-2.0": "gpl-2.0"}
+    rng = random.Random(8)
+    plain = [" ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 8))) for _ in range(40)) for _ in range(200)]
+    # A different name in each footer, so that each is a line of its own.
+    rows = [(k, p + "\n\n" + list(footers)[k % 4] + f" Edition {k}") for k, p in enumerate(plain)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.place) for r in got) == Counter((k, 2) for k in range(200))
+    # The number may share its hash with a word of another family.
+    assert sum(r.family == list(footers.values())[r.doc_id % 4] for r in got) >= 198
