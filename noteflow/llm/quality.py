@@ -153,17 +153,20 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; columns unchanged."""
+    """``docs`` without the rows that the classifier rejects; columns unchanged. All rows stay if there are not two classes to learn from."""
     net = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold("_id", FOLDS) == HELD_OUT)
     return accepted(docs, net)
 
 
 def accepted(docs: DataFrame, net: QualityNet | float, text: str = "text") -> DataFrame:
+    if isinstance(net, float):
+        # No network could be fitted, and a constant says nothing about a row.
+        return docs
     at = docs.columns.index(text)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            p = np.full(batch.num_rows, net) if isinstance(net, float) else net.score(*utf8(batch.column(at)))
+            p = net.score(*utf8(batch.column(at)))
             yield batch.filter(pa.array(p >= THRESHOLD))
 
     return docs.mapInArrow(judge, docs.schema)

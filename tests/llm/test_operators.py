@@ -429,3 +429,11 @@ def test_licence_footers(spark):
     assert Counter((r.doc_id, r.place) for r in got) == Counter((k, 2) for k in range(200))
     # The number may share its hash with a word of another family.
     assert sum(r.family == list(footers.values())[r.doc_id % 4] for r in got) >= 198
+
+
+@pytest.mark.parametrize("labels", [[], [0, 0, 0], [1]])
+def test_quality_stage_without_two_classes(spark, tmp_path, labels):
+    """The stage keeps every row if no network can be fitted."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    spark.createDataFrame(list(enumerate(labels)), "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert sorted(map(tuple, quality.stage(spark, docs, str(tmp_path)).collect())) == sorted(map(tuple, docs.collect()))
