@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from noteflow.llm import embedding_dedup, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, sharding, token_counts, url_filter
+from noteflow.llm import divergence, embedding_dedup, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, sharding, token_counts, url_filter
 from noteflow.llm.store import documents
 
 CONTRACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts.count_tokens,
     "op9_embedding_dedup": embedding_dedup.near_embeddings,
     "op10_mixing": mixing.mix_documents,
+    "op11_divergence": divergence.audit_documents,
     "op12_url_filters": url_filter.filter_pages,
     "pipeline": corpus_pipeline.run,
 }
@@ -36,5 +37,6 @@ ORACLE: dict[str, str] = {
     "op2_near_dedup": near_dedup.ORACLE,
     "op9_embedding_dedup": embedding_dedup.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_divergence": divergence.ORACLE,
     "op12_url_filters": url_filter.ORACLE,
 }
