@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noteflow.functions.scalar import cents, midi_to_hz
-from noteflow.operators.scan import BLK, ordered_scan, with_halo
-from noteflow.operators.scores import next_onset, time_block
+from noteflow.operators.scan import BLK, ordered_scan, place, with_halo
+from noteflow.operators.scores import next_onset
 from noteflow.session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
@@ -38,13 +38,13 @@ BIN_S = 0.64
 BLOCK_FRAMES = 4096
 
 
-def note_windows(notes: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
+def note_windows(notes: DataFrame, tol: Tolerances = DEFAULT) -> DataFrame:
     """Search windows of every note: onset ± win, offset window capped at the next onset, sustain."""
     win = max(0.15, 3.0 * tol.onset_ms / 1000.0)
     dur = F.col("offset_s") - F.col("onset_s")
     off_tol = tol.offset_ms(dur * 1000.0)
     off_win = F.greatest(F.lit(win), off_tol / 1000.0)
-    return next_onset(notes, hot).withColumns({
+    return next_onset(notes).withColumns({
         "on_lo": F.col("onset_s") - win, "on_hi": F.col("onset_s") + win,
         "off_lo": F.col("offset_s") - off_win,
         "off_hi": F.least(F.col("offset_s") + off_win, F.col("next_onset_s")),
@@ -79,18 +79,18 @@ def _ref_cents() -> Column:
     return (F.col("pitch_midi") - 69) * 100.0
 
 
-def note_frame_join(notes: DataFrame, frames: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
+def note_frame_join(notes: DataFrame, frames: DataFrame, tol: Tolerances = DEFAULT) -> DataFrame:
     """Notes with every frame inside any of their windows, and the edge flags of that frame."""
-    return _note_bins(notes, frames, hot, tol).filter(F.col("t_s").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+    return _note_bins(notes, frames, tol).filter(F.col("t_s").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
-def _note_bins(notes: DataFrame, frames: DataFrame, hot: list | None, tol: Tolerances, bin_s: float = BIN_S) -> DataFrame:
+def _note_bins(notes: DataFrame, frames: DataFrame, tol: Tolerances, bin_s: float = BIN_S) -> DataFrame:
     """Left join of notes and frames on (sample, time bin).
 
     A note is listed in each bin it touches, a frame in one. The optimizer does not see how many rows
     an explode makes, so the frames are kept from being broadcast. A note without frames stays.
     """
-    wide = note_windows(notes, hot, tol).withColumnRenamed("score_id", "sample_id")
+    wide = note_windows(notes, tol).withColumnRenamed("score_id", "sample_id")
     lo = F.least("on_lo", "off_lo")
     hi = F.greatest("on_hi", "off_hi", "offset_s")
     bins = F.sequence(F.floor(lo / bin_s), F.floor(hi / bin_s))
@@ -106,7 +106,7 @@ def _note_bins(notes: DataFrame, frames: DataFrame, hot: list | None, tol: Toler
     }).drop(BLK, "cents", "ref_cents", "prev_cents", "next_cents", "has_prev", "has_next", "prev_tune", "next_tune")
 
 
-def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, tol: Tolerances = DEFAULT) -> DataFrame:
+def note_checks(notes: DataFrame, frames: DataFrame, tol: Tolerances = DEFAULT) -> DataFrame:
     """Per note: nearest onset edge, last offset edge, sustained coverage, and the three verdicts.
 
     Only minima, maxima and counts, so partial aggregation happens before the shuffle.
@@ -128,7 +128,7 @@ def note_checks(notes: DataFrame, frames: DataFrame, hot: list | None = None, to
         "n_sus": F.count_if(in_sus), "c_sus": F.count_if(in_sus & F.col("in_tune")),
         "n_all": F.count_if(in_note), "c_all": F.count_if(in_note & F.col("in_tune")),
     }
-    per = _note_bins(notes, frames, hot, tol).groupBy(
+    per = _note_bins(notes, frames, tol).groupBy(
         "sample_id", "note_idx", "onset_s", "offset_s", "off_tol_ms"
     ).agg(*[c.alias(n) for n, c in agg.items()])
 
@@ -266,26 +266,26 @@ REL_FLOOR = 0.12
 MIN_RUN_FRAMES = 2
 
 
-def voiced_runs(rms: DataFrame, hot: list | None = None) -> DataFrame:
+def voiced_runs(rms: DataFrame) -> DataFrame:
     """Runs of two or more frames above 0.12 of the sample's loudest: (sample, run_idx, first, last).
 
     Frame positions are dense, so a run starts where the frame before is not loud.
     """
     peaks = rms.groupBy("sample_id").agg(F.max("rms").alias("_peak")).filter("_peak > 0")
     loud = rms.join(peaks, "sample_id").filter(F.col("rms") > REL_FLOOR * F.col("_peak")).select("sample_id", "frame_idx", "t_s")
-    block = F.floor(F.col("frame_idx") / 65_536)
-    seen = ordered_scan(loud, "sample_id", ["frame_idx"], block, lag={"_p": "frame_idx"}, hot=hot)
+    loud, cut = place(loud, "sample_id", ["frame_idx"])
+    seen = ordered_scan(loud, "sample_id", ["frame_idx"], lag={"_p": "frame_idx"}, cut=cut)
     opens = F.coalesce(F.col("frame_idx") - F.col("_p") > 1, F.lit(True))
     marked = seen.withColumn("_s", F.when(opens, F.col("frame_idx")))
-    grouped = ordered_scan(marked, "sample_id", ["frame_idx"], block, max_before={"_l": "_s"}, hot=hot)
+    grouped = ordered_scan(marked, "sample_id", ["frame_idx"], max_before={"_l": "_s"}, cut=cut)
     runs = grouped.groupBy("sample_id", F.coalesce("_s", "_l").alias("first")).agg(
         F.max("frame_idx").alias("last"), F.min("t_s").alias("t_first"), F.max("t_s").alias("t_last")
     ).filter(F.col("last") - F.col("first") + 1 >= MIN_RUN_FRAMES)
-    ranked = ordered_scan(runs, "sample_id", ["first"], F.floor(F.col("first") / 65_536), row_number="_rn", hot=hot)
+    ranked = ordered_scan(runs, "sample_id", ["first"], row_number="_rn")
     return ranked.withColumn("run_idx", F.col("_rn") - 1).drop("_rn")
 
 
-def pair_segments(notes: DataFrame, runs: DataFrame, frame_s: float, hot: list | None = None) -> DataFrame:
+def pair_segments(notes: DataFrame, runs: DataFrame, frame_s: float) -> DataFrame:
     """Each note with its voiced run: by rank when the counts agree, otherwise by nearest centre.
 
     The nearest run is the last centre at or before the note's centre or the first one after it, so
@@ -309,10 +309,10 @@ def pair_segments(notes: DataFrame, runs: DataFrame, frame_s: float, hot: list |
         )
     )
     order = ["centre", "_kind", "_i"]
-    up = ordered_scan(axis, "score_id", order, time_block("centre"), max_before={"_before": "_run"}, hot=hot)
+    up = ordered_scan(axis, "score_id", order, max_before={"_before": "_run"})
     down = up.withColumns({"_nc": -F.col("centre"), "_nk": -F.col("_kind"), "_ni": -F.col("_i"),
                            "_flip": F.when(F.col("_run").isNotNull(), F.struct((-F.col("_run.centre")).alias("c"), (-F.col("_run.run_idx")).alias("i"), F.col("_run").alias("r")))})
-    looked = ordered_scan(down, "score_id", ["_nc", "_nk", "_ni"], F.floor(F.col("_nc") / 1800.0), max_before={"_after": "_flip"}, hot=hot)
+    looked = ordered_scan(down, "score_id", ["_nc", "_nk", "_ni"], max_before={"_after": "_flip"})
     a, b = F.col("_before"), F.col("_after.r")
     near = F.when(b.isNull() | (F.abs(a["centre"] - F.col("centre")) <= F.abs(b["centre"] - F.col("centre"))), a).otherwise(b)
     near = F.when(a.isNull(), b).otherwise(near)
@@ -323,13 +323,13 @@ def pair_segments(notes: DataFrame, runs: DataFrame, frame_s: float, hot: list |
     return by_rank.unionByName(by_centre)
 
 
-def derive_labels(notes: DataFrame, rms: DataFrame, hop_s: float, group_delay_s: float = 0.0, hot: list | None = None) -> DataFrame:
+def derive_labels(notes: DataFrame, rms: DataFrame, hop_s: float, group_delay_s: float = 0.0) -> DataFrame:
     """Onset and offset of each note from its voiced run; a note without runs keeps its own."""
     frame_s = 2 * hop_s
     # One row per run, used three times below: written out once instead of measured three times.
     ensure_checkpoint_dir(notes.sparkSession)
-    runs = voiced_runs(rms, hot).checkpoint()
-    paired = notes.join(pair_segments(notes, runs, frame_s, hot), ["score_id", "note_idx"])
+    runs = voiced_runs(rms).checkpoint()
+    paired = notes.join(pair_segments(notes, runs, frame_s), ["score_id", "note_idx"])
     onset = F.greatest(F.lit(0.0), F.col("t_first") - group_delay_s)
     offset = F.col("t_last") + frame_s - group_delay_s
     dur = F.col("offset_s") - F.col("onset_s")
@@ -344,11 +344,11 @@ def derive_labels(notes: DataFrame, rms: DataFrame, hop_s: float, group_delay_s:
     )
 
 
-def refine_offsets(notes: DataFrame, frames: DataFrame, hot: list | None = None) -> DataFrame:
+def refine_offsets(notes: DataFrame, frames: DataFrame) -> DataFrame:
     """Offsets moved to the last in-tune (±100 cents) frame, inside the note's own span."""
     width = BIN_S
     hi = F.least(F.col("offset_s") + 0.2, F.col("next_onset_s"))
-    n = next_onset(notes, hot).withColumns({"_hi": hi, "f_ref": midi_to_hz("pitch_midi")})
+    n = next_onset(notes).withColumns({"_hi": hi, "f_ref": midi_to_hz("pitch_midi")})
     listed = n.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("onset_s") / width), F.floor(F.greatest("_hi", "onset_s") / width))))
     f = frames.filter("voiced AND f0_hz > 0").select(
         F.col("sample_id").alias("score_id"), F.floor(F.col("t_s") / width).alias("_bin"), "t_s", "f0_hz"

@@ -220,7 +220,7 @@ def variant_note_checks(pairs: DataFrame, notes: DataFrame, budgets: dict[str, f
         F.col("offset_s").alias("b_off"), F.col("pitch_midi").alias("b_pitch"),
     )
     sized = base.groupBy("base_score_id").agg(F.count(F.lit(1)).alias("n_base"))
-    nxt = ordered_scan(n, "score_id", ["onset_s", "note_idx"], F.floor(F.col("onset_s") / 1800.0), lead={"_nx": "onset_s"}, hot=[])
+    nxt = ordered_scan(n, "score_id", ["onset_s", "note_idx"], lead={"_nx": "onset_s"})
     offset = F.coalesce(F.expr("try_cast(substring(score_aug_transform, 2) AS INT)"), F.lit(0))
     joined = (
         pairs.select("sample_id", "score_id", "base_score_id", "base_sample_id", "score_aug_transform", "score_aug_profile")

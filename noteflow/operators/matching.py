@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noteflow.operators.decode import decode_poly
-from noteflow.operators.scan import interval_join, join_dimension, ordered_scan
+from noteflow.operators.scan import BLK, interval_join, join_dimension, ordered_scan, place
 
 # The match modes and what each one asks of a pair beyond the onset.
 MODES = {
@@ -120,7 +120,7 @@ def _match_block(pdf: pd.DataFrame, modes: list[str]) -> pd.DataFrame:
     return pd.concat(out) if out else pdf.iloc[:0].assign(mode="")
 
 
-def match_notes(candidates: DataFrame, modes: tuple = tuple(MODES), keys: tuple = ("song_id",), hot: list | None = None) -> DataFrame:
+def match_notes(candidates: DataFrame, modes: tuple = tuple(MODES), keys: tuple = ("song_id",)) -> DataFrame:
     """One-to-one maximum matching per mode: (keys, mode, ref_idx, est_idx, pitch_error).
 
     Pairs that share a note overlap in time, so stretches between which no pair reaches across are
@@ -133,13 +133,13 @@ def match_notes(candidates: DataFrame, modes: tuple = tuple(MODES), keys: tuple
         F.greatest("onset_s", "e_on").alias("_to"), F.abs(F.col("onset_s") - F.col("e_on")).alias("_dist"),
         (F.col("e_pitch") - F.col("pitch")).cast("double").alias("pitch_error"), "pitch_ok", "class_ok", "offset_ok",
     )
-    block = F.floor(F.col("_from") / 1800.0)
     order = ["_from", "ref_idx", "est_idx"]
-    seen = ordered_scan(pairs, "_key", order, block, max_before={"_held": "_to"}, hot=hot)
+    pairs, cut = place(pairs, "_key", order)
+    seen = ordered_scan(pairs, "_key", order, max_before={"_held": "_to"}, cut=cut)
     opens = F.col("_held").isNull() | (F.col("_from") > F.col("_held"))
     marked = seen.withColumn("_open", F.when(opens, F.col("_from")))
-    placed = ordered_scan(marked, "_key", order, block, max_before={"_last": "_open"}, hot=hot)
-    placed = placed.withColumn("_island", F.coalesce("_open", "_last")).drop("_open", "_last", "_held", "_from", "_to")
+    placed = ordered_scan(marked, "_key", order, max_before={"_last": "_open"}, cut=cut)
+    placed = placed.withColumn("_island", F.coalesce("_open", "_last")).drop("_open", "_last", "_held", "_from", "_to", BLK)
     out_schema = T.StructType(
         [f for f in placed.schema.fields if f.name in keys]
         + list(T.StructType.fromDDL("mode string, ref_idx bigint, est_idx bigint, pitch_error double").fields)
@@ -199,18 +199,18 @@ def metric_by_source(scores: DataFrame, m: DataFrame) -> DataFrame:
 
 def threshold_sweep(
     post: DataFrame, ref: DataFrame, *, onset_grid: tuple = ONSET_GRID, frame_grid: tuple = FRAME_GRID,
-    mode: str = "COnPOff", onset_tol: float | str = ONSET_TOL_S, hot: list | None = None,
+    mode: str = "COnPOff", onset_tol: float | str = ONSET_TOL_S,
 ) -> DataFrame:
     """Mean F1 over all songs of every (onset, frame) threshold pair; see ``best_thresholds``.
 
     Songs where a pair finds nothing count as zero without being listed.
     """
     grid = [(a, b) for a in onset_grid for b in frame_grid]
-    est = decode_poly(post, grid, hot=hot)
+    est = decode_poly(post, grid)
     keys = ("song_id", "onset_thresh", "frame_thresh")
     est = est.withColumn("est_idx", F.rint(F.col("onset_s") * 62.5).cast("long") * 128 + F.col("pitch"))
     pairs = match_candidates(ref, est, onset_tol)
-    got = match_notes(pairs, (mode,), keys, hot=hot).groupBy(*keys).agg(F.count(F.lit(1)).alias("matched"))
+    got = match_notes(pairs, (mode,), keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("matched"))
     n_est = est.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_est"))
     n_ref = ref.groupBy("song_id").agg(F.count(F.lit(1)).alias("n_ref"))
     songs = n_ref.agg(F.count(F.lit(1)).alias("songs"))

@@ -1,13 +1,15 @@
 """Ordered scans that stay bounded when one group holds much of the data.
 
-A window over ``(group)`` puts the whole group into one task. A frequent-items sketch first names the
-groups that are too large for that (usually none, and then the plan is the plain window). Those are
-cut along their order into blocks; the window runs per ``(group, block)``, and a small table with one
-row per block carries counts, sums, maxima and edge rows across the cuts.
+A window over ``(group)`` puts the whole group into one task. So groups are counted first, at the grain of the scan
+itself. Usually all are small, and then the plan is the plain window. The rows of the others are range-partitioned
+by (group, order); the window runs inside (group, partition), and a small table with one row for each of
+those pieces carries counts, sums, maxima and edge rows across the cuts.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,84 +17,111 @@ from noteflow.session import ensure_checkpoint_dir
 
 #: Rows of one group that one task may sort.
 HOT_ROWS = 2_000_000
-#: The sketch keeps this many candidates; any group above 1/7500 of all rows is among them.
-TRACKED_ITEMS = 10_000
-#: At most this many groups are reported, which also bounds the broadcast.
-MAX_HOT = 1_000
 #: Dimensions up to this many rows are broadcast after being counted.
 BROADCAST_ROWS = 200_000
 
 BLK = "_blk"
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> list:
-    """Groups of ``key`` with about ``max_rows`` rows or more: at most ``MAX_HOT`` values.
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, where null equals null."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & a[k].eqNullSafe(b[f"_of_{k}"])
+    return out
+
+
+def place(df: DataFrame, key: str, order: list[str], max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` ready for scans over ``key`` in ``order``, and whether a group of more than ``max_rows`` rows had to be cut.
 
-    An estimate is enough: a group missed or listed wrongly changes the cuts, not the result.
+    If so, ``BLK`` holds the piece of each row: 0 for groups that stay whole, else the number of a range partition,
+    which never decreases along ``order``. The rows of cut groups are written to the checkpoint folder, so the pieces
+    hold when executors are lost. Rows that agree in key and order stay in one piece. Scans over columns made from these rows may
+    use the same pieces, as long as the order of the rows is the same.
     """
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {TRACKED_ITEMS})").alias("top")).first()["top"]
-    return [t["item"] for t in top or [] if t["count"] >= max_rows and t["item"] is not None]
+    max_rows = HOT_ROWS if max_rows is None else max_rows
+    large = df.groupBy(F.col(key).alias(f"_of_{key}")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    ensure_checkpoint_dir(df.sparkSession)
+    large = large.checkpoint()
+    known = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
+    if not known["groups"]:
+        return df, False
+    names = F.broadcast(large) if known["groups"] <= BROADCAST_ROWS else large
+    match = _same(df, names, [key])
+    parts = 2 * math.ceil(known["rows"] / max_rows)
+    held = df.join(names, match, "left_semi").repartitionByRange(parts, key, *order)
+    held = held.withColumn(BLK, F.spark_partition_id().cast("long")).checkpoint()
+    whole = df.join(names, match, "left_anti").withColumn(BLK, F.lit(0).cast("long"))
+    return whole.unionByName(held), True
 
 
 def ordered_scan(
     df: DataFrame,
     key: str,
     order: list[str],
-    block: Column,
     *,
     row_number: str | None = None,
     sum_before: dict[str, str] | None = None,
     max_before: dict[str, str] | None = None,
+    xor_before: dict[str, str] | None = None,
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
-    hot: list | None = None,
+    cut: bool | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Row number, exclusive running sum / maximum, and neighbours over ``key`` in ``order``.
+    """Row number, exclusive running sum / maximum / bitwise xor, and neighbours over ``key`` in ``order``.
 
-    The dicts map an output column to its input column. ``hot`` lists the groups to cut (looked up
-    when None); ``block`` says where, and must not decrease along ``order``.
+    The dicts map an output column to its input column. ``cut`` is what ``place`` said of these rows; without it the
+    groups are counted here.
     """
-    sums, maxs, lags, leads = sum_before or {}, max_before or {}, lag or {}, lead or {}
-    hot = hot_keys(df, key) if hot is None else hot
-    parts, keys = df, [key]
-    if hot:
-        cut_at = F.when(F.col(key).isin(*hot), block.cast("long")).otherwise(F.lit(0))
-        parts, keys = df.withColumn(BLK, cut_at), [key, BLK]
+    sums, maxs, xors, lags, leads = sum_before or {}, max_before or {}, xor_before or {}, lag or {}, lead or {}
+    names = [*([row_number] if row_number else []), *sums, *maxs, *xors, *lags, *leads]
+    wanted = df.columns
+    if cut is None:
+        df, cut = place(df, key, order, max_rows)
+    keys = [key, BLK] if cut else [key]
 
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     local: dict[str, Column] = {row_number: F.row_number().over(w)} if row_number else {}
     local |= {o: F.coalesce(F.sum(c).over(before), F.lit(0)) for o, c in sums.items()}
     local |= {o: F.max(c).over(before) for o, c in maxs.items()}
-    if not hot:
+    local |= {o: F.coalesce(F.bit_xor(c).over(before), F.lit(0).cast("long")) for o, c in xors.items()}
+    if not cut:
         local |= {o: F.lag(c).over(w) for o, c in lags.items()}
         local |= {o: F.lead(c).over(w) for o, c in leads.items()}
-        return parts.withColumns(local)
+        return df.withColumns(local).select(*wanted, *names)
     # A struct tells a missing neighbour from a neighbour that holds NULL.
     local |= {o: F.lag(F.struct(c)).over(w) for o, c in lags.items()}
     local |= {o: F.lead(F.struct(c)).over(w) for o, c in leads.items()}
 
     rank = F.struct(*order)
-    per_block = [F.count(F.lit(1)).alias("_n")]
-    per_block += [F.sum(c).alias(f"_s_{o}") for o, c in sums.items()]
-    per_block += [F.max(c).alias(f"_m_{o}") for o, c in maxs.items()]
-    per_block += [F.max_by(F.struct(c), rank).alias(f"_l_{o}") for o, c in lags.items()]
-    per_block += [F.min_by(F.struct(c), rank).alias(f"_f_{o}") for o, c in leads.items()]
-    blocks = parts.filter(F.col(key).isin(*hot)).groupBy(*keys).agg(*per_block)
-    by_block = Window.partitionBy(key).orderBy(BLK)
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select(
-        key,
-        BLK,
+    per_piece = [F.count(F.lit(1)).alias("_n")]
+    per_piece += [F.sum(c).alias(f"_s_{o}") for o, c in sums.items()]
+    per_piece += [F.max(c).alias(f"_m_{o}") for o, c in maxs.items()]
+    per_piece += [F.bit_xor(c).alias(f"_x_{o}") for o, c in xors.items()]
+    per_piece += [F.max_by(F.struct(c), rank).alias(f"_l_{o}") for o, c in lags.items()]
+    per_piece += [F.min_by(F.struct(c), rank).alias(f"_f_{o}") for o, c in leads.items()]
+    # Groups that were not cut have one piece and nothing to carry.
+    pieces = df.groupBy(*keys).agg(*per_piece)
+    by_piece = Window.partitionBy(key).orderBy(BLK)
+    earlier = by_piece.rowsBetween(Window.unboundedPreceding, -1)
+    carry = pieces.select(
+        F.col(key).alias(f"_of_{key}"),
+        F.col(BLK).alias(f"_of_{BLK}"),
+        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_pieces"),
         F.sum("_n").over(earlier).alias("_rows_before"),
         *[F.sum(f"_s_{o}").over(earlier).alias(f"_c_{o}") for o in sums],
         *[F.max(f"_m_{o}").over(earlier).alias(f"_c_{o}") for o in maxs],
-        *[F.lag(f"_l_{o}").over(by_block).alias(f"_c_{o}") for o in lags],
-        *[F.lead(f"_f_{o}").over(by_block).alias(f"_c_{o}") for o in leads],
-    )
-    # One row per block, written out so that chained scans do not repeat each other's plans.
+        *[F.bit_xor(f"_x_{o}").over(earlier).alias(f"_c_{o}") for o in xors],
+        *[F.lag(f"_l_{o}").over(by_piece).alias(f"_c_{o}") for o in lags],
+        *[F.lead(f"_f_{o}").over(by_piece).alias(f"_c_{o}") for o in leads],
+    ).filter("_pieces > 1")
+    # One row per piece, written out so that chained scans do not repeat each other's plans.
     ensure_checkpoint_dir(df.sparkSession)
-    out = parts.withColumns(local).join(carry.checkpoint(), keys, "left")
+    carry = carry.checkpoint()
+    out = df.withColumns(local)
+    out = out.join(carry, _same(out, carry, keys), "left")
 
     final: dict[str, Column] = {}
     if row_number:
@@ -101,10 +130,11 @@ def ordered_scan(
         final[o] = F.col(o) + F.coalesce(F.col(f"_c_{o}"), F.lit(0))
     for o in maxs:
         final[o] = F.greatest(F.col(o), F.col(f"_c_{o}"))
+    for o in xors:
+        final[o] = F.col(o).bitwiseXOR(F.coalesce(F.col(f"_c_{o}"), F.lit(0)))
     for o, c in [*lags.items(), *leads.items()]:
         final[o] = F.coalesce(F.col(o), F.col(f"_c_{o}"))[c]
-    names = [*([row_number] if row_number else []), *sums, *maxs, *lags, *leads]
-    return out.withColumns(final).select(*df.columns, *names)
+    return out.withColumns(final).select(*wanted, *names)
 
 
 def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:

@@ -6,20 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noteflow.operators.folds import sorted_fold
-from noteflow.operators.scan import exact_percentiles, one_row, ordered_scan
+from noteflow.operators.scan import BLK, exact_percentiles, one_row, ordered_scan, place
 
 #: Two notes may touch or overlap by this much, in seconds.
 OVERLAP_SLACK_S = 1e-9
-#: Long scores found to be large are cut into blocks of this length.
-BLOCK_S = 1800.0
 #: Floor of the learned note length: the onset tolerance.
 ONSET_TOLERANCE_MS = 50.0
 
 
-def time_block(onset: str = "onset_s", seconds: float = BLOCK_S) -> Column:
-    return F.floor(F.col(onset) / seconds)
-
-
 # --- validity --------------------------------------------------------------------------------
 
 
@@ -43,28 +37,25 @@ def note_rejects(notes: DataFrame) -> DataFrame:
     return notes.withColumn("reason", reject_reason()).filter("reason IS NOT NULL")
 
 
-def sort_notes(notes: DataFrame, hot: list | None = None) -> DataFrame:
+def sort_notes(notes: DataFrame) -> DataFrame:
     """Number the notes of a score by (onset, offset); the input position breaks ties."""
     order = ["onset_s", "offset_s", "note_idx"]
-    ranked = ordered_scan(notes, "score_id", order, time_block(), row_number="_rank", hot=hot)
+    ranked = ordered_scan(notes, "score_id", order, row_number="_rank")
     return ranked.withColumn("note_idx", (F.col("_rank") - 1).cast("int")).drop("_rank")
 
 
-def next_onset(notes: DataFrame, hot: list | None = None) -> DataFrame:
+def next_onset(notes: DataFrame) -> DataFrame:
     """Adds ``next_onset_s``: infinity for the last note."""
-    out = ordered_scan(
-        notes, "score_id", ["onset_s", "note_idx"], time_block(),
-        lead={"next_onset_s": "onset_s"}, hot=hot,
-    )
+    out = ordered_scan(notes, "score_id", ["onset_s", "note_idx"], lead={"next_onset_s": "onset_s"})
     return out.withColumn("next_onset_s", F.coalesce("next_onset_s", F.lit(float("inf"))))
 
 
-def monophony(notes: DataFrame, hot: list | None = None) -> DataFrame:
+def monophony(notes: DataFrame) -> DataFrame:
     """Per score: does every note end before the next begins, and how many pairs do not."""
     gap_ok = F.col("offset_s") <= F.col("next_onset_s") + OVERLAP_SLACK_S
     overlap = F.col("next_onset_s") + OVERLAP_SLACK_S < F.col("offset_s")
     return (
-        next_onset(notes, hot)
+        next_onset(notes)
         .groupBy("score_id")
         .agg(
             F.bool_and(gap_ok).alias("monophonic"),
@@ -140,21 +131,18 @@ def octave_centre(notes: DataFrame, lo: int = 55, hi: int = 79, keys: list[str]
 # --- phrases ---------------------------------------------------------------------------------
 
 
-def rest_split(notes: DataFrame, gap_s: float = 0.4, hot: list | None = None) -> DataFrame:
+def rest_split(notes: DataFrame, gap_s: float = 0.4) -> DataFrame:
     """Adds ``rest_group``: index of the last note that followed a rest of ``gap_s`` or more."""
     order = ["onset_s", "note_idx"]
-    prev = ordered_scan(
-        notes, "score_id", order, time_block(), lag={"_prev": "offset_s"}, hot=hot
-    )
+    placed, cut = place(notes, "score_id", order)
+    prev = ordered_scan(placed, "score_id", order, lag={"_prev": "offset_s"}, cut=cut)
     starts = F.col("_prev").isNull() | (F.col("onset_s") - F.col("_prev") >= gap_s)
     marked = prev.withColumn("_start", F.when(starts, F.col("note_idx")))
-    out = ordered_scan(
-        marked, "score_id", order, time_block(), max_before={"_open": "_start"}, hot=hot,
-    )
-    return out.withColumn("rest_group", F.coalesce("_start", "_open")).drop("_prev", "_start", "_open")
+    out = ordered_scan(marked, "score_id", order, max_before={"_open": "_start"}, cut=cut)
+    return out.withColumn("rest_group", F.coalesce("_start", "_open")).drop("_prev", "_start", "_open", BLK)
 
 
-def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0, hot: list | None = None) -> DataFrame:
+def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0) -> DataFrame:
     """Adds ``phrase_start``: index of the first note of the phrase, cut at rests and at the cap.
 
     A rest resets the running phrase start, so the fold is keyed by the rest group.
@@ -171,7 +159,7 @@ def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0
 
         return fn
 
-    grouped = rest_split(notes, gap_s, hot).select(
+    grouped = rest_split(notes, gap_s).select(
         "score_id", "rest_group", "onset_s", "note_idx", "offset_s", "pitch_midi"
     )
     return sorted_fold(
@@ -182,11 +170,10 @@ def phrase_cuts(notes: DataFrame, gap_s: float = 0.4, max_phrase_s: float = 12.0
 def segment_phrases(
     notes: DataFrame, *, gap_s: float = 0.4, max_phrase_s: float = 12.0, min_notes: int = 4,
     min_phrase_s: float = 1.0, lo: int = 55, hi: int = 79, max_out_of_range_frac: float = 0.2,
-    hot: list | None = None,
 ) -> DataFrame:
     """Octave-centred phrases, re-zeroed to 0.2 s, numbered over the kept phrases of a score."""
     key = ["score_id", "phrase_start"]
-    cut = phrase_cuts(notes, gap_s, max_phrase_s, hot)
+    cut = phrase_cuts(notes, gap_s, max_phrase_s)
     pitches = cut.groupBy(*key, "pitch_midi").agg(
         F.count(F.lit(1)).alias("_c"), F.min("onset_s").alias("_on"),
         F.max(F.struct("note_idx", "offset_s")).alias("_last"),
@@ -211,9 +198,7 @@ def segment_phrases(
         .agg(F.sum("_c").alias("n_kept"), F.min("_on").alias("t_first"))
         .filter((F.col("n") - F.col("n_kept")) / F.col("n") <= max_out_of_range_frac)
     )
-    numbered = ordered_scan(
-        kept, "score_id", ["phrase_start"], time_block("t_first"), row_number="_p", hot=hot
-    ).select(*key, "shift", (F.col("t_first") - 0.2).alias("_t0"), (F.col("_p") - 1).alias("_p"))
+    numbered = ordered_scan(kept, "score_id", ["phrase_start"], row_number="_p").select(*key, "shift", (F.col("t_first") - 0.2).alias("_t0"), (F.col("_p") - 1).alias("_p"))
     return (
         cut.join(numbered, key)
         .filter(inside)
@@ -246,20 +231,19 @@ def pick_melody_track(events: DataFrame) -> DataFrame:
     )
 
 
-def sounding_islands(events: DataFrame, hot: list | None = None) -> DataFrame:
+def sounding_islands(events: DataFrame) -> DataFrame:
     """Adds ``island``: start time of the stretch without silence that an event belongs to."""
     order = ["start_s", "neg_pitch", "track", "end_s"]
     ev = events.withColumn("neg_pitch", -F.col("pitch"))
-    held = ordered_scan(
-        ev, "song_id", order, time_block("start_s"), max_before={"_held": "end_s"}, hot=hot
-    )
+    ev, cut = place(ev, "song_id", order)
+    held = ordered_scan(ev, "song_id", order, max_before={"_held": "end_s"}, cut=cut)
     opens = F.col("_held").isNull() | (F.col("start_s") >= F.col("_held"))
     marked = held.withColumn("_open", F.when(opens, F.col("start_s")))
-    out = ordered_scan(marked, "song_id", order, time_block("start_s"), max_before={"_last": "_open"}, hot=hot)
-    return out.withColumn("island", F.coalesce("_open", "_last")).drop("_held", "_open", "_last")
+    out = ordered_scan(marked, "song_id", order, max_before={"_last": "_open"}, cut=cut)
+    return out.withColumn("island", F.coalesce("_open", "_last")).drop("_held", "_open", "_last", BLK)
 
 
-def skyline(events: DataFrame, hot: list | None = None) -> DataFrame:
+def skyline(events: DataFrame) -> DataFrame:
     """Top line: a higher note cuts the held lower one short, a lower note under it is hidden.
 
     Remnants of a millisecond or less vanish. The fold only decides which events enter the line; an
@@ -279,11 +263,9 @@ def skyline(events: DataFrame, hot: list | None = None) -> DataFrame:
         return fn
 
     order = ["start_s", "neg_pitch", "track", "end_s"]
-    ev = sounding_islands(events, hot)
+    ev = sounding_islands(events)
     entered = sorted_fold(ev, ["song_id", "island"], order, step, "entered boolean").filter("entered")
-    line = ordered_scan(
-        entered, "song_id", order, time_block("start_s"), lead={"_next": "start_s"}, hot=hot
-    )
+    line = ordered_scan(entered, "song_id", order, lead={"_next": "start_s"})
     cut = F.col("_next") < F.col("end_s")
     end = F.when(cut, F.col("_next")).otherwise(F.col("end_s"))
     remnant = F.coalesce(cut, F.lit(False)) & (end - F.col("start_s") <= 1e-3)
@@ -299,10 +281,9 @@ def singable(pitch: Column, length_s: Column, lo: int = 55, hi: int = 79, min_no
     return F.when(~pitch.between(lo, hi), F.lit("out_of_range")).when(length_s < min_note_s, F.lit("short"))
 
 
-def melody_lines(events: DataFrame, *, lo: int = 55, hi: int = 79, min_note_s: float = 0.08,
-                 hot: list | None = None) -> DataFrame:
+def melody_lines(events: DataFrame, *, lo: int = 55, hi: int = 79, min_note_s: float = 0.08) -> DataFrame:
     """Reduced, octave-centred line of every song with the drop reason of each note."""
-    line = skyline(pick_melody_track(events), hot)
+    line = skyline(pick_melody_track(events))
     shifts = upper_median(line, ["song_id"], "pitch").select(
         "song_id", octave_shift(F.col("median"), lo, hi).alias("shift")
     )

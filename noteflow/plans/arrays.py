@@ -214,7 +214,7 @@ def _(t: Tables):
 
 @query("decode_poly")
 def _(t: Tables):
-    return D.decode_poly(t.posteriors, [(0.5, 0.3)], hot=t.hot_scores)
+    return D.decode_poly(t.posteriors, [(0.5, 0.3)])
 
 
 VIEWS["mono_frames"] = """
@@ -248,4 +248,4 @@ SELECT song_id, onset, frame, midi, vad_p FROM (SELECT m.*, max(p.frame) OVER (P
     WHERE s.frame < e AND e * 0.016e0 - s.onset * 0.016e0 >= 0.07 GROUP BY ALL) GROUP BY song_id, onset, e HAVING arg_min(midi, [-n, midi]) BETWEEN 24 AND 108""",
 )
 def _(t: Tables):
-    return D.decode_mono(t.mono_posteriors, 0.4, 0.5, hot=t.hot_scores)
+    return D.decode_mono(t.mono_posteriors, 0.4, 0.5)

@@ -28,12 +28,12 @@ def _(t: Tables):
 
 @query("match_notes")
 def _(t: Tables):
-    return X.match_notes(candidates(t), hot=t.hot_scores)
+    return X.match_notes(candidates(t))
 
 
 @query("note_prf")
 def _(t: Tables):
-    return X.note_prf(t.ref_notes, t.est_notes, X.match_notes(candidates(t), hot=t.hot_scores))
+    return X.note_prf(t.ref_notes, t.est_notes, X.match_notes(candidates(t)))
 
 
 @query(
@@ -41,7 +41,7 @@ def _(t: Tables):
     """SELECT count(*) AS songs, sum(n_ref)::BIGINT AS n_ref, sum(n_est)::BIGINT AS n_est FROM (SELECT song_id, count(*) AS n_ref FROM @ref_notes GROUP BY song_id) LEFT JOIN (SELECT song_id, count(*) AS n_est FROM @est_notes GROUP BY song_id) USING (song_id)""",
 )
 def _(t: Tables):
-    per = X.note_prf(t.ref_notes, t.est_notes, X.match_notes(candidates(t), ("COn",), hot=t.hot_scores)).filter("mode = 'COn'")
+    per = X.note_prf(t.ref_notes, t.est_notes, X.match_notes(candidates(t), ("COn",))).filter("mode = 'COn'")
     return per.agg(F.count(F.lit(1)).alias("songs"), F.sum("n_ref").alias("n_ref"), F.sum("n_est").alias("n_est"))
 
 
@@ -114,12 +114,12 @@ def _(t: Tables):
 
 @query("threshold_sweep")
 def _(t: Tables):
-    return X.threshold_sweep(t.posteriors, t.ref_notes, hot=t.hot_scores)
+    return X.threshold_sweep(t.posteriors, t.ref_notes)
 
 
 @query("best_thresholds")
 def _(t: Tables):
-    return X.best_thresholds(X.threshold_sweep(t.posteriors, t.ref_notes, hot=t.hot_scores))
+    return X.best_thresholds(X.threshold_sweep(t.posteriors, t.ref_notes))
 
 
 @query("align_dtw")

@@ -275,7 +275,7 @@ WHERE n >= 4 AND span >= 1 AND pitch_midi + shift BETWEEN 55 AND 79)) WHERE (n -
 
 @query("segment_phrases", "SELECT score_id, note_idx, onset_s, offset_s, pitch AS pitch_midi FROM @phrases")
 def _(t: Tables):
-    return S.segment_phrases(t.long_notes, hot=t.hot_long)
+    return S.segment_phrases(t.long_notes)
 
 
 @query(
@@ -284,7 +284,7 @@ def _(t: Tables):
     FROM (SELECT count(DISTINCT score_id) AS songs, count(*) AS notes_in FROM @long_notes) a, (SELECT count(DISTINCT score_id) AS phrases, count(*) AS notes_out FROM @phrases) b""",
 )
 def _(t: Tables):
-    return S.ingest_report(t.long_notes, S.segment_phrases(t.long_notes, hot=t.hot_long))
+    return S.ingest_report(t.long_notes, S.segment_phrases(t.long_notes))
 
 
 # --- melody ----------------------------------------------------------------------------------
@@ -332,12 +332,12 @@ def _(t: Tables):
     SELECT *, min(start_s) OVER (PARTITION BY song_id) - 0.2e0 AS t0 FROM @melody WHERE r IS NULL)""",
 )
 def _(t: Tables):
-    return S.melody_notes(S.melody_lines(t.events_poly, hot=t.hot_songs))
+    return S.melody_notes(S.melody_lines(t.events_poly))
 
 
 @query("melody_stats", "SELECT * FROM @melody_stats")
 def _(t: Tables):
-    return S.melody_stats(t.events_poly, S.melody_lines(t.events_poly, hot=t.hot_songs))
+    return S.melody_stats(t.events_poly, S.melody_lines(t.events_poly))
 
 
 @query(
@@ -350,7 +350,7 @@ def _(t: Tables):
     FROM (SELECT *, method <> 'rejected' AND notes_out > 0 AS ok FROM @melody_stats)""",
 )
 def _(t: Tables):
-    return S.extraction_report(S.melody_stats(t.events_poly, S.melody_lines(t.events_poly, hot=t.hot_songs)))
+    return S.extraction_report(S.melody_stats(t.events_poly, S.melody_lines(t.events_poly)))
 
 
 # --- parallel arrays -------------------------------------------------------------------------

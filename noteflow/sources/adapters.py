@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteflow.operators.scan import hot_keys, ordered_scan, spread
+from noteflow.operators.scan import ordered_scan, spread
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -43,22 +43,6 @@ class Tables:
 
     # --- notes ---------------------------------------------------------------------------
 
-    def _hot(self, key: str, prefix: str = "s") -> list:
-        """The sketch runs over the raw key; ids are made from what it finds."""
-        return [f"{prefix}{k}" for k in hot_keys(self.raw("lineitem").select(key), key)]
-
-    @cached_property
-    def hot_scores(self) -> list:
-        return self._hot("l_orderkey")
-
-    @cached_property
-    def hot_long(self) -> list:
-        return self._hot("l_suppkey")
-
-    @cached_property
-    def hot_songs(self) -> list:
-        return ["m" + s[1:] for s in self.hot_scores]
-
     def note_rows(self, key: str = "l_orderkey", gaps: tuple = GAPS) -> DataFrame:
         other = "l_suppkey" if key == "l_orderkey" else "l_orderkey"
         pk = F.col("l_partkey")
@@ -73,12 +57,7 @@ class Tables:
             (F.lit(40) + F.lit(12) * F.col("l_quantity")).cast("long").alias("dur_ms"),
             _case(pk % 5, gaps).cast("long").alias("gap_ms"),
         ).withColumn("step_ms", F.col("dur_ms") + F.col("gap_ms"))
-        day = F.unix_date(F.to_date("l_shipdate")).cast("long")
-        rows = ordered_scan(
-            base, "score_id", order, F.col("l_linenumber") * 100_000 + day,
-            row_number="rn", sum_before={"before_ms": "step_ms"},
-            hot=self.hot_scores if key == "l_orderkey" else self.hot_long,
-        )
+        rows = ordered_scan(base, "score_id", order, row_number="rn", sum_before={"before_ms": "step_ms"})
         return rows.select(
             "score_id",
             (F.col("rn") - 1).cast("int").alias("note_idx"),

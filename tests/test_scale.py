@@ -1,8 +1,9 @@
-"""Cut groups, partition counts and hot keys must not change results."""
+"""Cut groups and partition counts must not change results."""
 
 import pytest
 from pyspark.sql import functions as F
 
+from noteflow.operators import expand
 from noteflow.operators import gate as G
 from noteflow.operators import scan
 from noteflow.operators import scores as S
@@ -24,26 +25,57 @@ def long_score(spark):
     )
 
 
-@pytest.mark.parametrize("seconds", [7.0, 100.0])
-def test_cut_scans_equal_whole_scans(long_score, seconds):
+@pytest.fixture
+def cut_at(monkeypatch):
+    return lambda rows: monkeypatch.setattr(scan, "HOT_ROWS", rows)
+
+
+@pytest.mark.parametrize("rows", [40, 500, 1300])
+def test_cut_scans_equal_whole_scans(long_score, rows):
     args = dict(
-        row_number="rn", sum_before={"s": "pitch_midi"}, max_before={"m": "offset_s"}, lag={"p": "offset_s", "pl": "lyric"}, lead={"n": "onset_s"}
+        row_number="rn", sum_before={"s": "pitch_midi"}, max_before={"m": "offset_s"}, xor_before={"x": "note_idx"},
+        lag={"p": "offset_s", "pl": "lyric"}, lead={"n": "onset_s"},
     )
-    order, block = ["onset_s", "note_idx"], F.floor(F.col("onset_s") / seconds)
-    whole = scan.ordered_scan(long_score, "score_id", order, block, hot=[], **args)
-    cut = scan.ordered_scan(long_score, "score_id", order, block, hot=["hot", "s1"], **args)
+    order = ["onset_s", "note_idx"]
+    some = long_score.withColumn("score_id", F.when(F.col("score_id") != "s1", F.col("score_id")))
+    whole = scan.ordered_scan(some, "score_id", order, **args)
+    cut = scan.ordered_scan(some, "score_id", order, max_rows=rows, **args)
     assert cut.columns == whole.columns and table(cut) == table(whole)
 
 
-def test_operators_with_hot_scores(long_score):
-    assert table(S.monophony(long_score, ["hot"])) == table(S.monophony(long_score, []))
-    assert table(S.rest_split(long_score, 0.4, ["hot", "s2"])) == table(S.rest_split(long_score, 0.4, []))
-    assert table(S.segment_phrases(long_score, hot=["hot"])) == table(S.segment_phrases(long_score, hot=[]))
+def test_pieces_are_bounded(long_score):
+    placed, cut = scan.place(long_score, "score_id", ["onset_s", "note_idx"], 100)
+    sizes = placed.filter("score_id = 'hot'").groupBy(scan.BLK).count().collect()
+    assert cut and len(sizes) > 8 and max(r["count"] for r in sizes) < 200
+    assert placed.filter("score_id <> 'hot'").select(scan.BLK).distinct().count() == 1
+    assert scan.place(long_score, "score_id", ["onset_s", "note_idx"]) == (long_score, False)
+
+
+def test_operators_with_one_long_score(long_score, cut_at):
+    made = lambda: (table(S.monophony(long_score)), table(S.rest_split(long_score, 0.4)), table(S.segment_phrases(long_score)))
+    whole = made()
+    cut_at(100)
+    assert made() == whole
+
+
+def test_one_score_long_in_frames(spark, long_score, cut_at):
+    """Notes are few, frames are many: the runs are cut where the notes are not."""
+    rms = spark.range(6000).select(
+        F.lit("hot").alias("sample_id"), F.col("id").alias("frame_idx"), (F.col("id") * 0.02).alias("t_s"),
+        F.when(F.col("id") % 23 < 17, 0.8).otherwise(0.01).alias("rms"),
+    )
+    few = long_score.filter("score_id = 'hot' AND note_idx < 300")
+    whole = table(G.voiced_runs(rms)), table(G.derive_labels(few, rms, 0.01))
+    cut_at(500)
+    assert (table(G.voiced_runs(rms)), table(G.derive_labels(few, rms, 0.01))) == whole
 
 
-def test_hot_keys_are_found(long_score):
-    assert scan.hot_keys(long_score, "score_id", 500) == ["hot"]
-    assert scan.hot_keys(long_score, "score_id") == []
+def test_one_score_long_in_variants(long_score, cut_at):
+    knob = expand.Humanize(draws=2, onset_sigma_s=0.02, duration_sigma_s=0.02, max_dev_s=0.05)
+    made = lambda: table(expand.humanize(long_score, knob, F.lit(5).cast("long")))
+    whole = made()
+    cut_at(100)
+    assert made() == whole
 
 
 def test_frames_across_bins(spark):
@@ -60,10 +92,10 @@ def test_frames_across_bins(spark):
 @pytest.mark.parametrize("parts", [1, 13])
 def test_partition_count_does_not_matter(spark, long_score, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    whole = table(S.segment_phrases(long_score, hot=[]))
+    whole = table(S.segment_phrases(long_score))
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        assert table(S.segment_phrases(long_score, hot=[])) == whole
+        assert table(S.segment_phrases(long_score)) == whole
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
