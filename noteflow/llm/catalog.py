@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from noteflow.llm import divergence, embedding_dedup, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, sharding, token_counts, url_filter
+from noteflow.llm import divergence, embedding_dedup, exact_dedup, language, licenses, mixing, near_dedup, packing, prefix_trie, quality, sharding, token_counts, url_filter
 from noteflow.llm.store import documents
 
 CONTRACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": mixing.mix_documents,
     "op11_divergence": divergence.audit_documents,
     "op12_url_filters": url_filter.filter_pages,
+    "op13_prefix_trie": prefix_trie.conversation_trie,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
@@ -39,4 +40,5 @@ ORACLE: dict[str, str] = {
     "op10_mixing": mixing.ORACLE,
     "op11_divergence": divergence.ORACLE,
     "op12_url_filters": url_filter.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
