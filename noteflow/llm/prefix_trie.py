@@ -83,46 +83,69 @@ def rebuilt(rows: DataFrame, scratch: Scratch, shared: int = SHARED, head: int =
     return path, scratch.keep(whole, "whole")
 
 
+def _runs(rows: pa.RecordBatch, n: int) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of rows that agree in the first n columns."""
+    if rows.num_rows:
+        change = np.zeros(rows.num_rows, bool)
+        change[0] = True
+        for i in range(n):
+            col = rows.column(i).to_numpy()
+            change[1:] |= col[1:] != col[:-1]
+        at = np.flatnonzero(change)
+        yield from zip(at.tolist(), np.append(at[1:], rows.num_rows).tolist())
+
+
+def _id_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by sequence and conversation: pieces of the lists of ids, as text."""
+    for rows in batches:
+        runs = list(_runs(rows, 4))
+        lo = np.array([r[0] for r in runs], np.int64)
+        ids = rows.column(4).to_numpy()
+        text = [",".join(map(str, ids[a:b].tolist())) for a, b in runs]
+        yield pa.RecordBatch.from_arrays(
+            [*(rows.column(i).take(pa.array(lo)) for i in range(5)), pa.array([b - a for a, b in runs], pa.int64()), pa.array(text, pa.string())],
+            [*NODE, "sum", "least", "weight", "ids"],
+        )
+
+
 def _end_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by sequence and conversation: a digest of each list, its length and its first; only the digest's state is held."""
-    state, key, count, least = None, None, 0, 0
-    out: list[tuple] = []
+    """Pieces sorted by sequence and first id: a digest of each whole list; only the digest's state is held."""
+    names, key, out = [*NODE, "sum", "least", "weight", "ends_sha256"], None, []
 
-    def batch() -> pa.RecordBatch:
+    def made() -> pa.RecordBatch:
         cols = list(zip(*out))
         out.clear()
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.string())], [*NODE, "sum", "least", "weight", "ends_sha256"])
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.string())], names)
 
     for rows in batches:
-        cols = [rows.column(i).to_numpy() for i in range(5)]
-        if not len(cols[0]):
-            continue
-        new = np.flatnonzero(np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])))
-        for lo, hi in zip(new, np.append(new[1:], len(cols[0]))):
-            now = tuple(int(c[lo]) for c in cols[:4])
-            ids = ",".join(map(str, cols[4][lo:hi].tolist())).encode()
+        cols = [rows.column(i).to_pylist() for i in range(6)]
+        for i in range(rows.num_rows):
+            now, ids = tuple(c[i] for c in cols[:4]), rows.column(6)[i].as_py().encode()
             if now == key:
                 state.update(b"," + ids)
-                count += int(hi - lo)
+                count += cols[5][i]
                 continue
             if key is not None:
                 out.append((*key, least, count, state.hexdigest()))
-            key, state, count, least = now, hashlib.sha256(ids), int(hi - lo), int(cols[4][lo])
+            key, least, count, state = now, cols[4][i], cols[5][i], hashlib.sha256(ids)
         if len(out) >= 10_000:
-            yield batch()
+            yield made()
     if key is not None:
         out.append((*key, least, count, state.hexdigest()))
     if out:
-        yield batch()
+        yield made()
 
 
 def sequences(whole: DataFrame) -> DataFrame:
     """(d, a, b, sum, least, weight, ends_sha256) of every distinct rebuilt conversation.
 
-    A list of ends is one text, so one task writes it, as a stream; it holds ids only.
+    Ids are sorted and written out by ranges, so that many equal conversations are dealt to many tasks. The digest of one
+    list is made in one task, since it is defined over the whole list; it reads a row for every batch of ids.
     """
-    rows = whole.select(*NODE, "sum", "conv_id").repartition(*NODE).sortWithinPartitions(*NODE, "conv_id")
-    return rows.mapInArrow(_end_lists, "d long, a long, b long, sum long, least long, weight long, ends_sha256 string")
+    rows = whole.select(*NODE, "sum", "conv_id").repartitionByRange(*NODE, "conv_id").sortWithinPartitions(*NODE, "conv_id")
+    fields = ", ".join(f"{c} long" for c in (*NODE, "sum", "least", "weight"))
+    lists = rows.mapInArrow(_id_lists, f"{fields}, ids string")
+    return lists.repartition(*NODE).sortWithinPartitions(*NODE, "least").mapInArrow(_end_lists, f"{fields}, ends_sha256 string")
 
 
 def trie(
