@@ -127,28 +127,38 @@ def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return lines.filter(F.col("paragraph").rlike(r"\S"))
 
 
-def _after(lines: Column) -> Column:
-    """The first ``WRAP`` words of these lines, up to a blank one, and how many words have come at the end of each line."""
-    def step(acc: Column, line: Column) -> Column:
-        words = F.concat(acc["words"], _tokens(line))
-        more = F.struct(words.alias("words"), F.concat(acc["ends"], F.array(F.size(words))).alias("ends"), line.rlike(r"\S").alias("open"))
-        return F.when(acc["open"] & (F.size(acc["words"]) < WRAP), more).otherwise(acc)
+def _following(lines: Column, place: Column) -> Column:
+    """The first ``WRAP`` words of the lines after this one, up to a blank one, and how many words each of those lines has."""
+    near = F.get(lines, place + 1)["words"]
+    rest = F.slice(lines, place + 2, WRAP)
+    blank = F.array_position(F.transform(rest, lambda line: line["seen"]), False).cast("int")
+    rest = F.when(blank > 0, F.slice(rest, F.lit(1), blank - 1)).otherwise(rest)
+    words = F.slice(F.flatten(F.transform(rest, lambda line: F.slice(line["words"], 1, WRAP))), 1, WRAP)
+    # Most lines are long enough alone.
+    alone = F.size(near) >= WRAP
+    sizes = F.when(alone, F.array(F.size(near))).otherwise(F.transform(rest, lambda line: F.size(line["words"])))
+    return F.struct(F.when(alone, F.slice(near, 1, WRAP)).otherwise(words).alias("words"), sizes.alias("sizes"))
 
-    start = F.struct(F.array().cast("array<string>").alias("words"), F.array().cast("array<int>").alias("ends"), F.lit(True).alias("open"))
-    return F.aggregate(lines, start, step, lambda acc: F.struct(F.slice(acc["words"], 1, WRAP).alias("words"), acc["ends"].alias("ends")))
+
+def _ends(sizes: Column) -> Column:
+    """How many words have come at the end of each line."""
+    start = F.array().cast("array<int>")
+    return F.aggregate(sizes, start, lambda acc, n: F.concat(acc, F.array(n + F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)))))
 
 
 def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, rid, place, joined, words, cut, ends): the words of each line, and those around each line break (``joined``), ``cut`` of them before it."""
+    """(doc_id, rid, place, joined, words, cut, sizes): the words of each line, and those around each line break (``joined``), ``cut`` of them before it."""
     raw = F.split(F.col(f"`{text}`"), "\r\n|\r|\n")
-    # Exploded on its own, so that the text is split once and not for each line.
+    # Each step is exploded on its own, so that a text is split once and each of its lines once.
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("rid"), F.explode(F.array(raw)).alias("raw"))
-    line = F.transform("raw", lambda x, i: F.struct(i.alias("place"), _tokens(x).alias("words"), _after(F.slice("raw", i + 2, WRAP)).alias("after")))
-    lines = docs.select("doc_id", "rid", F.explode(line).alias("u")).select("doc_id", "rid", "u.place", "u.words", "u.after.ends", F.col("u.after.words").alias("after")).filter("size(words) > 0")
+    lines = F.transform("raw", lambda x: F.struct(_tokens(x).alias("words"), x.rlike(r"\S").alias("seen")))
+    docs = docs.select("doc_id", "rid", F.explode(F.array(lines)).alias("lines"))
+    line = F.transform("lines", lambda x, i: F.struct(i.alias("place"), x["words"].alias("words"), _following(F.col("lines"), i).alias("after")))
+    lines = docs.select("doc_id", "rid", F.explode(line).alias("u")).select("doc_id", "rid", "u.place", "u.words", "u.after.sizes", F.col("u.after.words").alias("after")).filter("size(words) > 0")
     lines = lines.withColumn("joined", F.explode(F.when(F.size("after") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     cut = F.least(F.size("words"), F.lit(WRAP))
     near = F.concat(F.slice("words", F.size("words") - cut + 1, F.lit(WRAP)), "after")
-    return lines.select("doc_id", "rid", "place", "joined", F.when(F.col("joined"), near).otherwise(F.col("words")).alias("words"), cut.alias("cut"), "ends")
+    return lines.select("doc_id", "rid", "place", "joined", F.when(F.col("joined"), near).otherwise(F.col("words")).alias("words"), cut.alias("cut"), "sizes")
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float, float]:
@@ -226,7 +236,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     # The line that holds the last word pair of a confirming template.
     held = F.flatten(F.transform(F.filter(_templates(F.col("family")), lambda t: _share(t, F.col("pairs")) >= OVERLAP), lambda t: t["wanted"]))
     last = F.array_max(F.transform("pairs", lambda pair, i: F.when(F.array_contains(held, pair), i + 1 - F.col("cut"))))
-    until = F.when(F.col("joined") & F.col("confirmed"), F.col("place") + 1 + F.size(F.filter("ends", lambda e: e <= last)))
+    until = F.when(F.col("joined") & F.col("confirmed"), F.col("place") + 1 + F.size(F.filter(_ends(F.col("sizes")), lambda e: e <= last)))
     found = best.select("doc_id", "rid", "place", "joined", until.alias("until"), family.alias("family"), F.col("family").alias("predicted"), "probability", "overlap", "confirmed")
     return _once(scratch.keep(found, "found")).drop("rid", "joined", "until")
 

@@ -437,3 +437,27 @@ def test_quality_stage_without_two_classes(spark, tmp_path, labels):
     docs = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
     spark.createDataFrame(list(enumerate(labels)), "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     assert sorted(map(tuple, quality.stage(spark, docs, str(tmp_path)).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_licence_units(spark, monkeypatch):
+    """The words around each line break, against a walk over the lines."""
+    rng = random.Random(8)
+    texts = ["\n".join(rng.choice(["", " ", "--", "a b", "C, d e.", "w " * rng.randint(1, 30)]) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    texts += [None, "", "\r\n\r", "x" + "\r" * 50 + "y", "one line", "é ü"]
+    rows = [(None if k % 9 == 0 else k, t) for k, t in enumerate(texts)] + [(1, texts[1])] * 3
+    want = Counter()
+    for k, t in rows:
+        lines = re.split("\r\n|\r|\n", t) if t is not None else []
+        words = [re.findall("[a-z0-9]+", x.lower()) for x in lines]
+        for i, own in enumerate(words):
+            if own:
+                after = []
+                for j in range(i + 1, min(len(lines), i + 1 + licenses.WRAP)):
+                    if not re.search(r"\S", lines[j], re.A):
+                        break
+                    after += words[j]
+                want[k, i, False, tuple(own)] += 1
+                if after:
+                    want[k, i, True, tuple(own[-licenses.WRAP :] + after[: licenses.WRAP])] += 1
+    got = licenses.units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.place, r.joined, tuple(r.words)) for r in got) == want
