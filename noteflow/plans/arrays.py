@@ -228,7 +228,7 @@ FROM (SELECT score_id AS song_id, pk, pitch_midi, unnest(range(CASE WHEN note_id
     "SELECT song_id, frame, min(CASE WHEN vad_p < 0.5 THEN frame END) OVER (PARTITION BY song_id ORDER BY frame ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS below FROM @mono_frames",
 )
 def _(t: Tables):
-    return D.first_below(t.mono_posteriors.select("song_id", "frame", "vad_p"), 0.5, t.hot_scores).select("song_id", "frame", "below")
+    return D.first_below(t.mono_posteriors.select("song_id", "frame", "vad_p"), 0.5).select("song_id", "frame", "below")
 
 
 VIEWS["mono_peaks"] = """

@@ -64,17 +64,17 @@ SELECT *, unnest(range((frame_idx * {up} + {down - 1}) // {down}, ((frame_idx +
 def gated_notes(t: Tables):
     """Notes of the monophonic scores; the others are refused before any measurement."""
     notes = t.notes
-    mono = S.monophony(notes, t.hot_scores).filter("monophonic").select("score_id")
+    mono = S.monophony(notes).filter("monophonic").select("score_id")
     return notes.join(mono, "score_id", "left_semi")
 
 
 def checks(t: Tables):
-    return G.note_checks(gated_notes(t), t.f0_frames, t.hot_scores, FLOOR)
+    return G.note_checks(gated_notes(t), t.f0_frames, FLOOR)
 
 
 @query("note_frame_join", "SELECT score_id AS sample_id, note_idx, frame_idx, cur AS in_tune, rising, falling FROM @note_frames WHERE frame_idx IS NOT NULL")
 def _(t: Tables):
-    return G.note_frame_join(gated_notes(t), t.f0_frames, t.hot_scores).select("sample_id", "note_idx", "frame_idx", "in_tune", "rising", "falling")
+    return G.note_frame_join(gated_notes(t), t.f0_frames).select("sample_id", "note_idx", "frame_idx", "in_tune", "rising", "falling")
 
 
 @query("nearest_onset", "SELECT sample_id, note_idx, round(onset_t, 6) AS onset_t, round(onset_dev_ms, 6) AS onset_dev_ms, onset_ok FROM @checks")
@@ -99,7 +99,7 @@ for _grid in GRIDS:
         """The gate over another hop and group delay."""
         up, down, delay = GRIDS[grid]
         tol = G.Tolerances(min_note_ms=100.0, group_delay_ms=float(delay))
-        out = G.note_checks(gated_notes(t), t.f0_frames_at(up, down, delay), t.hot_scores, tol)
+        out = G.note_checks(gated_notes(t), t.f0_frames_at(up, down, delay), tol)
         return out.select("sample_id", "note_idx", F.round("onset_dev_ms", 4).alias("onset_dev_ms"), "onset_ok", "offset_ok", "f0_ok", F.round("coverage", 6).alias("coverage"))
 
 
@@ -126,7 +126,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Acceptance by verdict: read, check, learn the floor, measure, judge."""
     floor = S.learn_min_note_ms(t.notes, 1.0, {"align": 10.0, "f0": 5.0}).first()["min_note_ms"]
-    found = G.note_checks(gated_notes(t), t.f0_frames, t.hot_scores, G.Tolerances(min_note_ms=floor))
+    found = G.note_checks(gated_notes(t), t.f0_frames, G.Tolerances(min_note_ms=floor))
     return G.verdict(found, t.sample_meta).groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
 
 
@@ -187,13 +187,13 @@ LEFT JOIN (SELECT sample_id AS score_id, run_idx AS note_idx, run_idx FROM @runs
 
 @query("voiced_runs", "SELECT sample_id, run_idx, first, last, t_first, t_last FROM @runs")
 def _(t: Tables):
-    return G.voiced_runs(t.rms_frames, t.hot_scores).select("sample_id", "run_idx", "first", "last", "t_first", "t_last")
+    return G.voiced_runs(t.rms_frames).select("sample_id", "run_idx", "first", "last", "t_first", "t_last")
 
 
 @query("pair_segments", "SELECT score_id, note_idx, run_idx FROM @pairs")
 def _(t: Tables):
-    runs = G.voiced_runs(t.rms_frames, t.hot_scores)
-    return G.pair_segments(t.notes, runs, 0.04, t.hot_scores).select("score_id", "note_idx", "run_idx")
+    runs = G.voiced_runs(t.rms_frames)
+    return G.pair_segments(t.notes, runs, 0.04).select("score_id", "note_idx", "run_idx")
 
 
 @query(
@@ -203,7 +203,7 @@ def _(t: Tables):
     SELECT n.*, t_first, greatest(0e0, t_first - 0.01e0) AS a, t_last + 0.04e0 - 0.01e0 AS b FROM @notes n JOIN @pairs p USING (score_id, note_idx) LEFT JOIN @runs r ON r.sample_id = n.score_id AND r.run_idx = p.run_idx)""",
 )
 def _(t: Tables):
-    out = G.derive_labels(t.notes, t.rms_frames, 0.02, 0.01, t.hot_scores)
+    out = G.derive_labels(t.notes, t.rms_frames, 0.02, 0.01)
     return out.select("score_id", "note_idx", *[F.round(c, 6).alias(c) for c in ("onset_s", "offset_s", "onset_dev_ms")])
 
 
@@ -215,4 +215,4 @@ def _(t: Tables):
       AND abs(1200e0 * log2(f0_hz / (440e0 * pow(2e0, (n.pitch_midi - 69) / 12e0)))) <= 100 GROUP BY n.score_id, n.note_idx, n.onset_s, n.offset_s, n.next_onset_s)""",
 )
 def _(t: Tables):
-    return G.refine_offsets(t.notes, t.f0_frames, t.hot_scores).select("score_id", "note_idx", "offset_s")
+    return G.refine_offsets(t.notes, t.f0_frames).select("score_id", "note_idx", "offset_s")

@@ -129,4 +129,4 @@ def _(t: Tables):
 
 @query("relabel_repair")
 def _(t: Tables):
-    return A.relabel_repair(gated_notes(t), t.f0_frames, t.sample_meta, t.hot_scores)
+    return A.relabel_repair(gated_notes(t), t.f0_frames, t.sample_meta)

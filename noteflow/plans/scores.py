@@ -164,7 +164,7 @@ def _(t: Tables):
     onset_s, offset_s, pitch_midi FROM ({_RAW})""",
 )
 def _(t: Tables):
-    return S.sort_notes(_raw_notes(t), t.hot_scores)
+    return S.sort_notes(_raw_notes(t))
 
 
 _NEXT = """SELECT score_id, note_idx, onset_s, offset_s, lead(onset_s, 1, CAST('inf' AS DOUBLE)) OVER (PARTITION BY score_id ORDER BY onset_s, note_idx) AS next_onset_s FROM @notes"""
@@ -173,7 +173,7 @@ VIEWS["next_onsets"] = _NEXT
 
 @query("next_onset", "SELECT score_id, note_idx, round(next_onset_s, 6) AS next_onset_s FROM @next_onsets WHERE next_onset_s < 1e300")
 def _(t: Tables):
-    out = S.next_onset(t.notes, t.hot_scores)
+    out = S.next_onset(t.notes)
     return out.filter("next_onset_s < 1e300").select("score_id", "note_idx", F.round("next_onset_s", 6).alias("next_onset_s"))
 
 
@@ -183,12 +183,12 @@ VIEWS["mono"] = """SELECT score_id, bool_and(offset_s <= next_onset_s + 1e-9) AS
 
 @query("monophony", "SELECT score_id, monophonic, n_notes, duration_s FROM @mono")
 def _(t: Tables):
-    return S.monophony(t.notes, t.hot_scores).drop("n_overlaps")
+    return S.monophony(t.notes).drop("n_overlaps")
 
 
 @query("score_overlap_count", "SELECT score_id, n_overlaps FROM @mono WHERE n_overlaps > 0")
 def _(t: Tables):
-    return S.monophony(t.notes, t.hot_scores).filter("n_overlaps > 0").select("score_id", "n_overlaps")
+    return S.monophony(t.notes).filter("n_overlaps > 0").select("score_id", "n_overlaps")
 
 
 @query(
@@ -250,7 +250,7 @@ def _(t: Tables):
     SELECT *, lag(offset_s) OVER (PARTITION BY score_id ORDER BY note_idx) AS p FROM @long_notes))""",
 )
 def _(t: Tables):
-    return S.rest_split(t.long_notes, 0.4, t.hot_long).select("score_id", "note_idx", "rest_group")
+    return S.rest_split(t.long_notes, 0.4).select("score_id", "note_idx", "rest_group")
 
 
 VIEWS["phrase_fold"] = """
@@ -323,7 +323,7 @@ def _(t: Tables):
 
 @query("skyline", "SELECT song_id, start_s, end_s, pitch FROM @line")
 def _(t: Tables):
-    return S.skyline(S.pick_melody_track(t.events_poly), t.hot_songs).select("song_id", "start_s", "end_s", "pitch")
+    return S.skyline(S.pick_melody_track(t.events_poly)).select("song_id", "start_s", "end_s", "pitch")
 
 
 @query(

@@ -45,7 +45,7 @@ _GAIN = f"pow(10e0, (-6e0 + {uniform_sql(_AXIS('volume'), chr(39) + 'gain' + chr
 
 
 def expansion(t: Tables) -> E.Expansion:
-    return E.expand_variants(t.notes, [PROFILE], MASTER, t.hot_scores)
+    return E.expand_variants(t.notes, [PROFILE], MASTER)
 
 
 @query("transpose", "SELECT score_id, note_idx, onset_s, offset_s, CAST(p AS INTEGER) AS pitch_midi, tr AS transform FROM @transposed")
@@ -68,7 +68,7 @@ def _(t: Tables):
 @query("humanize", "SELECT score_id, CAST(d AS INTEGER) AS draw, note_idx, round(on2, 6) AS onset_s, round(off2, 6) AS offset_s, h AS constraint_hit FROM @hum_steps")
 def _(t: Tables):
     seed = derive_seed(derive_seed(MASTER, "score_id", F.lit("score_aug"), F.lit("prof")), F.lit("humanize"))
-    out = E.humanize(t.notes, PROFILE.humanize, seed, t.hot_scores)
+    out = E.humanize(t.notes, PROFILE.humanize, seed)
     return out.select("score_id", "draw", "note_idx", F.round("onset_s", 6).alias("onset_s"), F.round("offset_s", 6).alias("offset_s"), "constraint_hit")
 
 
