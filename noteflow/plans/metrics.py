@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from noteflow.operators import align as A
+from noteflow.operators import gate as G
 from noteflow.operators import matching as X
 from noteflow.plans.gate import gated_notes
 from noteflow.plans.registry import query
@@ -122,11 +123,68 @@ def _(t: Tables):
     return X.best_thresholds(X.threshold_sweep(t.posteriors, t.ref_notes))
 
 
-@query("align_dtw")
+VIEWS["gated"] = "SELECT n.* FROM @notes n SEMI JOIN @mono_ids USING (score_id)"
+VIEWS["dtw_songs"] = """
+SELECT s.*, m FROM (SELECT score_id, count(*) AS n, list(onset_s ORDER BY note_idx) AS ons, list(offset_s ORDER BY note_idx) AS offs, list(pitch_midi ORDER BY note_idx) AS ps FROM @gated GROUP BY score_id) s
+JOIN (SELECT sample_id, count(*) AS m FROM @f0_frames GROUP BY sample_id) f ON f.sample_id = s.score_id WHERE m >= n"""
+VIEWS["dtw_frames"] = """
+SELECT f.sample_id, row_number() OVER w - 1 AS j, t_s, lead(t_s) OVER w - t_s AS step, voiced AND f0_hz > 0 AS on_air, 69e0 + 12e0 * log2(f0_hz / 440e0) AS midi
+FROM @f0_frames f SEMI JOIN @dtw_songs s ON s.score_id = f.sample_id WINDOW w AS (PARTITION BY f.sample_id ORDER BY frame_idx)"""
+#: One row of the dynamic programme for each frame, the note of each frame from the last to the first, and the notes' new bounds.
+_COST = "least(CASE WHEN on_air THEN abs(midi - ps[i]) ELSE 1e3 END, 1e3) + 6e0 * greatest(0e0, ons[i] - t_s, t_s - offs[i])"
+_ALIGNED = f"""dp AS MATERIALIZED (
+  SELECT sample_id, j, list_transform(range(1, n + 1), lambda i: CASE WHEN i = 1 THEN {_COST} ELSE 'infinity'::DOUBLE END) AS best, []::BOOLEAN[] AS went
+  FROM @dtw_frames JOIN @dtw_songs ON score_id = sample_id WHERE j = 0
+  UNION ALL
+  SELECT sample_id, j, list_transform(range(1, n + 1), lambda i: CASE WHEN went[i] THEN old[i - 1] ELSE old[i] END + {_COST}), went FROM (
+    SELECT f.*, s.n, s.ons, s.offs, s.ps, dp.best AS old, list_transform(range(1, s.n + 1), lambda i: i > 1 AND dp.best[i - 1] <= dp.best[i]) AS went
+    FROM dp JOIN @dtw_frames f ON f.sample_id = dp.sample_id AND f.j = dp.j + 1 JOIN @dtw_songs s ON s.score_id = dp.sample_id)
+), walk AS MATERIALIZED (
+  SELECT score_id AS sample_id, m - 1 AS j, n AS i FROM @dtw_songs
+  UNION ALL
+  SELECT walk.sample_id, walk.j - 1, walk.i - CASE WHEN dp.went[walk.i] THEN 1 ELSE 0 END FROM walk JOIN dp ON dp.sample_id = walk.sample_id AND dp.j = walk.j WHERE walk.j > 0
+), held AS (
+  SELECT sample_id, i, coalesce(min(j) FILTER (tuned), min(j)) AS b, coalesce(max(j) FILTER (tuned), max(j)) AS e
+  FROM (SELECT walk.*, on_air AND abs(midi - ps[i]) <= 1 AS tuned FROM walk JOIN @dtw_frames USING (sample_id, j) JOIN @dtw_songs ON score_id = sample_id) GROUP BY ALL
+), ends AS (
+  SELECT held.sample_id, i, fb.t_s AS new_on, fe.t_s + hop AS raw_off, lead(fb.t_s) OVER (PARTITION BY held.sample_id ORDER BY i) AS nxt
+  FROM held JOIN @dtw_frames fb ON fb.sample_id = held.sample_id AND fb.j = b JOIN @dtw_frames fe ON fe.sample_id = held.sample_id AND fe.j = e
+  JOIN (SELECT sample_id, coalesce(step, 0.01e0) AS hop FROM @dtw_frames WHERE j = 0) h ON h.sample_id = held.sample_id
+), moved AS (
+  SELECT g.score_id, note_idx, pitch_midi, onset_s AS old_on, offset_s AS old_off, new_on, CASE WHEN nxt > new_on THEN least(raw_off, nxt) ELSE raw_off END AS cut_off
+  FROM @gated g LEFT JOIN ends ON sample_id = g.score_id AND i = note_idx + 1
+), aligned AS (
+  SELECT score_id, note_idx, pitch_midi, coalesce(round_even(new_on, 3), old_on) AS onset_s, coalesce(round_even(new_off, 3), old_off) AS offset_s,
+    coalesce(abs(new_on - old_on) * 1e3, 0) AS onset_dev_ms, coalesce(abs(new_off - old_off) * 1e3, 0) AS offset_dev_ms
+  FROM (SELECT *, CASE WHEN cut_off > new_on THEN cut_off ELSE new_on + greatest(0.02e0, (old_off - old_on) * 0.5e0) END AS new_off FROM moved)
+)"""
+
+
+@query("align_dtw", f"""WITH RECURSIVE {_ALIGNED}
+SELECT score_id AS sample_id, note_idx, onset_s, offset_s, pitch_midi, round(onset_dev_ms, 6) AS onset_dev_ms, round(offset_dev_ms, 6) AS offset_dev_ms FROM aligned""")
 def _(t: Tables):
-    return A.align_dtw(gated_notes(t), t.f0_frames)
-
-
-@query("relabel_repair")
+    return A.align_dtw(gated_notes(t), t.f0_frames).withColumns({c: F.round(c, 6) for c in ("onset_dev_ms", "offset_dev_ms")})
+
+
+#: The gate over the labels as they are, and once more over the aligned ones.
+_SHORT = f"< {G.DEFAULT.min_note_ms} AS short"
+VIEWS["checks_plain"] = VIEWS["checks"].replace("< 100 AS short", _SHORT)
+VIEWS["verdicts_plain"] = VIEWS["verdicts"].replace("@checks", "@checks_plain")
+_AGAIN = {
+    "gate2": VIEWS["gate_notes"].replace("@notes SEMI JOIN @mono_ids USING (score_id)", "aligned").replace(
+        "SELECT score_id, note_idx, next_onset_s FROM @next_onsets",
+        "SELECT score_id, note_idx, lead(onset_s, 1, 'infinity'::DOUBLE) OVER (PARTITION BY score_id ORDER BY onset_s, note_idx) AS next_onset_s FROM aligned"),
+    "frames2": VIEWS["note_frames"].replace("@gate_notes", "gate2"),
+    "checks2": VIEWS["checks_plain"].replace("@note_frames", "frames2"),
+    "verdicts2": VIEWS["verdicts"].replace("@checks", "checks2"),
+}
+
+
+@query("relabel_repair", f"""WITH RECURSIVE {_ALIGNED}, {", ".join(f"{k} AS ({v})" for k, v in _AGAIN.items())}
+SELECT g.score_id, g.note_idx, coalesce(a.onset_s, g.onset_s) AS onset_s, coalesce(a.offset_s, g.offset_s) AS offset_s, g.pitch_midi, a.score_id IS NOT NULL AS repaired
+FROM @gated g LEFT JOIN (
+  SELECT aligned.* FROM aligned SEMI JOIN (SELECT sample_id FROM @verdicts_plain WHERE status <> 'accepted') x ON x.sample_id = aligned.score_id
+  SEMI JOIN (SELECT sample_id FROM verdicts2 WHERE status = 'accepted') y ON y.sample_id = aligned.score_id
+) a ON a.score_id = g.score_id AND a.note_idx = g.note_idx""")
 def _(t: Tables):
     return A.relabel_repair(gated_notes(t), t.f0_frames, t.sample_meta)

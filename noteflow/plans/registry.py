@@ -31,7 +31,9 @@ def with_views(body: str) -> str:
         return body
     head = "WITH RECURSIVE " if "RECURSIVE" in body else "WITH "
     body = body.replace("RECURSIVE", "", 1)
-    ctes = ",\n".join(f"{n} AS ({strip(VIEWS[n]).strip()})" for n in needed)
+    # A recursion reads its views once for each step.
+    once = "MATERIALIZED " if "RECURSIVE" in head else ""
+    ctes = ",\n".join(f"{n} AS {once}({strip(VIEWS[n]).strip()})" for n in needed)
     body = strip(body).strip()
     if body.upper().startswith("WITH "):
         return f"{head}{ctes},\n{body[5:]}"

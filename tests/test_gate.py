@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from noteflow.operators import align as A
@@ -65,25 +66,49 @@ def test_mix_rejudged(spark):
     assert got == {"moved": "rejected", "kept": "accepted", "masked": "rejected", "short": "flagged", "quiet": "quarantined"}
 
 
-def brute_path(cost):
-    """Cheapest monotone assignment by enumeration of the frames where a note begins."""
-    n, m = cost.shape
-    best = None
-    for cuts in itertools.combinations(range(1, m), n - 1):
-        bounds = [0, *cuts, m]
-        total = sum(cost[i, bounds[i]:bounds[i + 1]].sum() for i in range(n))
-        if best is None or total < best[0] - 1e-12:
-            best = (total, bounds)
-    return best[0]
-
-
-def test_alignment_is_optimal():
+def dense_path(on, off, pitch, t, midi):
+    """The whole table of costs at once; going on wins ties."""
+    n, m = len(pitch), len(t)
+    cost = np.minimum(np.nan_to_num(np.abs(midi - pitch[:, None]), nan=A.UNVOICED_COST), A.UNVOICED_COST)
+    cost = cost + A.TIMING_WEIGHT * np.maximum(0, np.maximum(on[:, None] - t, t - off[:, None]))
+    best, went = np.full((n, m), np.inf), np.zeros((n, m), int)
+    best[0, 0] = cost[0, 0]
+    for j in range(1, m):
+        for i in range(n):
+            went[i, j] = i > 0 and best[i - 1, j - 1] <= best[i, j - 1]
+            best[i, j] = cost[i, j] + best[i - went[i, j], j - 1]
+    path, i = [], n - 1
+    for j in range(m - 1, -1, -1):
+        path.append(i)
+        i -= went[i, j]
+    return path[::-1]
+
+
+def song(rng, n, m):
+    on = np.cumsum(rng.integers(1, 6, n)) * 0.05
+    midi = np.where(rng.random(m) < 0.2, np.nan, rng.integers(60, 64, m) + rng.choice([0, 0.3], m))
+    return on, on + rng.integers(1, 6, n) * 0.03, rng.integers(60, 64, n).astype(float), np.arange(m) * 0.02, midi
+
+
+@pytest.mark.parametrize("limits", [(1 << 26, 1 << 18), (60, 100), (20, 7), (3, 1)])
+def test_alignment_in_blocks_equals_the_dense_one(limits):
     rng = np.random.default_rng(3)
-    for _ in range(20):
-        cost = rng.random((3, 9))
-        path = A._assign(cost)
-        assert (np.diff(path) >= 0).all() and (np.diff(path) <= 1).all() and path[0] == 0 and path[-1] == 2
-        assert abs(cost[path, np.arange(9)].sum() - brute_path(cost)) < 1e-9
+    for _ in range(60):
+        n = int(rng.integers(1, 12))
+        args = song(rng, n, int(rng.integers(n, 70)))
+        assert A.Alignment(*args, *limits).solve().tolist() == dense_path(*args)
+
+
+def test_alignment_of_a_long_recording_is_bounded():
+    """A table of all notes and frames would take 400 MB a column of doubles; rows and bits stay under 40."""
+    import tracemalloc
+
+    args = song(np.random.default_rng(4), 1500, 36_000)
+    tracemalloc.start()
+    path = A.Alignment(*args, block_cells=1 << 22).solve()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert path[0] == 0 and path[-1] == 1499 and set(np.diff(path)) <= {0, 1} and most < 40e6
 
 
 def test_align_and_repair(spark, notes):
