@@ -107,7 +107,7 @@ def _named() -> str:
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -164,11 +164,11 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float, float]:
     """The regression, the cut of a family and the cut of a statement of any kind. At most ``SAMPLE`` paragraphs of the corpus are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
-    plain = paragraphs(docs, doc_id, text)
-    # Few more rows than the sample reach its sort: about six for each row of it, and as many as a document has lines.
+    # Few documents reach the sort of the sample: about six for each row of it, each with its lines. The others aren't cut into lines.
     rate = min(1.0, 6 * SAMPLE / max(1, docs.count()))
-    near = F.pmod(F.xxhash64("paragraph", F.lit("sample")), F.lit(1 << 20)) < int(rate * (1 << 20))
-    plain = plain.filter(near).filter(~F.col("paragraph").rlike(LICENCE_WORDS)).filter(~F.col("paragraph").rlike(_named()))
+    near = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.lit("sample")), F.lit(1 << 40)) < int(rate * (1 << 40))
+    plain = paragraphs(docs.filter(near), doc_id, text)
+    plain = plain.filter(~F.col("paragraph").rlike(LICENCE_WORDS)).filter(~F.col("paragraph").rlike(_named()))
     plain = plain.select(F.substring("paragraph", 1, 4000).alias("paragraph"))
     plain = plain.withColumn("_h", F.xxhash64("paragraph")).orderBy("_h").limit(SAMPLE).coalesce(1)
     plain = _features(plain).filter(~F.exists(_templates(), lambda t: _share(t, F.col("pairs")) >= OVERLAP)).select("paragraph", "_h")
