@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,7 +116,8 @@ def _features(rows: DataFrame) -> DataFrame:
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
-    rows = NGram(n=2, inputCol="words", outputCol="pairs").transform(rows)
+    more = F.greatest(F.size("words") - 1, F.lit(0))
+    rows = rows.withColumn("pairs", F.zip_with(F.slice("words", F.lit(1), more), F.slice("words", F.lit(2), more), lambda a, b: F.concat(a, F.lit(" "), b)))
     rows = rows.withColumn("_terms", F.concat("words", "pairs"))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_terms", outputCol="features").transform(rows).drop("_terms")
 
