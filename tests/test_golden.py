@@ -223,3 +223,38 @@ def test_pitch_functions(spark):
     ).first()
     assert (got["a"], got["b"], got["c"], got["d"], got["e"]) == (440.0, 81.0, None, None, 1200.0)
     assert math.isclose(spark.range(1).select(K.hnr_db(F.lit(0.5))).first()[0], 0.0, abs_tol=1e-9)
+
+
+def test_keyed_permutation(spark):
+    """One to one for any size, the same as the rounds by hand, and another order for another key."""
+    import hashlib
+
+    from noteflow.operators.lyrics import PRIME, ROUNDS, keyed_position
+
+    def by_hand(x, n, *key):
+        for r in range(ROUNDS):
+            k = int(hashlib.sha256("\x1f".join(map(str, (*key, r))).encode()).hexdigest()[:15], 16)
+            other = (k % n - x) % n
+            if (max(x, other) * (k >> 29) + k % (1 << 29)) % PRIME >= 1 << 30:
+                x = other
+        return x
+
+    for n in (1, 2, 3, 7, 64, 1001):
+        rows = spark.range(n).select("id", keyed_position(F.col("id"), n, F.lit(5), F.lit(1)).alias("a"), keyed_position(F.col("id"), n, F.lit(6), F.lit(1)).alias("b")).collect()
+        assert sorted(r["a"] for r in rows) == sorted(r["b"] for r in rows) == list(range(n))
+        assert all(r["a"] == by_hand(r["id"], n, 5, 1) for r in rows)
+        assert n < 64 or sum(r["a"] == r["b"] for r in rows) < n / 8
+
+
+def test_large_inventory(spark):
+    """A hundred thousand syllables: none comes twice before all have come, and the next round has another order."""
+    from noteflow.operators.lyrics import auto_syllables
+
+    n = 100_003
+    inventory = spark.range(n).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("syllable"))
+    notes = spark.range(2 * n).select(F.lit("x").alias("score_id"), F.col("id").cast("int").alias("note_idx"))
+    got = auto_syllables(notes, inventory.union(inventory.limit(5)), F.lit(3)).withColumn("chunk", F.floor(F.col("note_idx") / n))
+    per = got.groupBy("chunk").agg(F.count_distinct("syllable").alias("k"), F.count("*").alias("m")).collect()
+    assert [(r["k"], r["m"]) for r in per] == [(n, n)] * 2
+    again = got.groupBy(F.col("note_idx") % n).agg(F.count_distinct("syllable").alias("k")).filter("k = 1").count()
+    assert again < 50
