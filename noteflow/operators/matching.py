@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,43 @@ def _kuhn(left: np.ndarray, right: np.ndarray) -> list[int]:
     return list(taken.values())
 
 
+def _sweep(ref: np.ndarray, at: np.ndarray, onset: np.ndarray) -> np.ndarray | None:
+    """Positions of the edges of a maximum matching, or None if the partners of some reference note have gaps.
+
+    ``at`` numbers the estimated notes in order. Each takes, of the free reference notes it is close to, the one whose
+    last partner comes first; of those the one with the earliest onset, then the smallest number.
+    """
+    n_ref, n_est = int(ref.max()) + 1, int(at.max()) + 1
+    first, last, starts_at = np.full(n_ref, n_est), np.zeros(n_ref, dtype=np.int64), np.zeros(n_ref)
+    np.minimum.at(first, ref, at)
+    np.maximum.at(last, ref, at)
+    if np.any(last - first + 1 != np.bincount(ref)):
+        return None
+    starts_at[ref] = onset
+    coming, k = np.argsort(first, kind="stable"), 0
+    free: list[tuple[int, float, int]] = []
+    taken = []
+    for p in range(n_est):
+        while k < n_ref and first[coming[k]] == p:
+            r = coming[k]
+            heapq.heappush(free, (int(last[r]), float(starts_at[r]), int(r)))
+            k += 1
+        while free and free[0][0] < p:
+            heapq.heappop(free)
+        if free:
+            taken.append(heapq.heappop(free)[2] * n_est + p)
+    code = ref.astype(np.int64) * n_est + at
+    order = np.argsort(code)
+    return order[np.searchsorted(code[order], np.array(taken, dtype=np.int64))]
+
+
+def _stripe(pdf: pd.DataFrame, tests: tuple) -> np.ndarray:
+    """What estimated notes are ordered by before their onset: pairs of a mode with a pitch test stay within it."""
+    if "pitch_ok" in tests:
+        return pdf["e_pitch"].to_numpy()
+    return pdf["e_pitch"].to_numpy() % 12 if "class_ok" in tests else np.zeros(len(pdf))
+
+
 def _match_block(pdf: pd.DataFrame, modes: list[str]) -> pd.DataFrame:
     """Matched pairs of every mode for rows that hold whole islands."""
     out = []
@@ -112,8 +150,18 @@ def _match_block(pdf: pd.DataFrame, modes: list[str]) -> pd.DataFrame:
         keep = [pos[alone]]
         rest = np.flatnonzero(~alone)
         if rest.size:
-            order = rest[np.argsort(pdf["_dist"].to_numpy()[pos[rest]], kind="stable")]
-            keep.append(pos[order[_kuhn(ri[order], ei[order])]])
+            held = pdf.iloc[pos[rest]]
+            _, ref = np.unique(ri[rest], return_inverse=True)
+            # Estimated notes by island, stripe, onset and number.
+            by = np.lexsort((held["est_idx"], held["e_on"], _stripe(held, MODES[mode]), g[rest]))
+            fresh = np.diff(ei[rest][by], prepend=-1) != 0
+            at = np.empty(len(by), dtype=np.int64)
+            at[by] = np.cumsum(fresh) - 1
+            got = _sweep(ref, at, held["onset_s"].to_numpy())
+            if got is None:
+                got = np.argsort(held["_dist"].to_numpy(), kind="stable")
+                got = got[_kuhn(ref[got], at[got])]
+            keep.append(pos[rest[got]])
         chosen = pdf.iloc[np.concatenate(keep)].copy()
         chosen["mode"] = mode
         out.append(chosen)
@@ -125,13 +173,14 @@ def match_notes(candidates: DataFrame, modes: tuple = tuple(MODES), keys: tuple
 
     Pairs that share a note overlap in time, so stretches between which no pair reaches across are
     independent: the matching of a long song is the sum over them. Pairs without a rival are taken
-    by array operations, the others by augmenting paths.
+    by array operations. Where the partners of each note follow each other without a gap, as close onsets do, one sweep
+    with a heap of last partners matches the others, in the order of onset and number; else augmenting paths do.
     """
     key = F.concat_ws("\x1f", *keys) if len(keys) > 1 else F.col(keys[0])
     pairs = candidates.select(
         *keys, key.alias("_key"), "ref_idx", "est_idx", F.least("onset_s", "e_on").alias("_from"),
         F.greatest("onset_s", "e_on").alias("_to"), F.abs(F.col("onset_s") - F.col("e_on")).alias("_dist"),
-        (F.col("e_pitch") - F.col("pitch")).cast("double").alias("pitch_error"), "pitch_ok", "class_ok", "offset_ok",
+        (F.col("e_pitch") - F.col("pitch")).cast("double").alias("pitch_error"), "onset_s", "e_on", "e_pitch", "pitch_ok", "class_ok", "offset_ok",
     )
     order = ["_from", "ref_idx", "est_idx"]
     pairs, cut = place(pairs, "_key", order)

@@ -49,15 +49,17 @@ def _(t: Tables):
 # Modes whose pairs are close onsets within one class: with one tolerance, taking pairs in onset order is a maximum matching.
 MEASURED = ("COn", "COnP")
 VIEWS["onset_lists"] = """
-SELECT song_id, mode, cls, coalesce(list(onset_s ORDER BY onset_s) FILTER (is_ref), []) AS rs, coalesce(list(onset_s ORDER BY onset_s) FILTER (NOT is_ref), []) AS es
-FROM (SELECT song_id, onset_s, CASE mode WHEN 'COn' THEN 0 ELSE pitch END AS cls, mode, is_ref FROM (
-  SELECT song_id, onset_s, pitch, true AS is_ref FROM @ref_notes UNION ALL SELECT song_id, onset_s, pitch, false FROM @est_notes), (VALUES ('COn'), ('COnP')) v(mode)) GROUP BY song_id, mode, cls"""
-_MEASURED = """steps AS (
-  SELECT song_id, mode, cls, rs, es, 1 AS i, 1 AS j, 0 AS m FROM @onset_lists
+SELECT song_id, mode, cls, coalesce(list(onset_s ORDER BY onset_s, idx) FILTER (is_ref), []) AS rs, coalesce(list(onset_s ORDER BY onset_s, idx) FILTER (NOT is_ref), []) AS es,
+  list(pitch ORDER BY onset_s, idx) FILTER (is_ref) AS rp, list(pitch ORDER BY onset_s, idx) FILTER (NOT is_ref) AS ep
+FROM (SELECT song_id, onset_s, idx, pitch, CASE mode WHEN 'COn' THEN 0 ELSE pitch END AS cls, mode, is_ref FROM (
+  SELECT song_id, onset_s, pitch, ref_idx AS idx, true AS is_ref FROM @ref_notes UNION ALL SELECT song_id, onset_s, pitch, est_idx, false FROM @est_notes), (VALUES ('COn'), ('COnP')) v(mode)) GROUP BY song_id, mode, cls"""
+_STEPS = """steps AS (
+  SELECT song_id, mode, cls, rs, es, rp, ep, 1 AS i, 1 AS j, 0 AS m, CAST(NULL AS DOUBLE) AS pitch_error FROM @onset_lists
   UNION ALL
-  SELECT song_id, mode, cls, rs, es, CASE WHEN near OR rs[i] < es[j] THEN i + 1 ELSE i END, CASE WHEN near OR rs[i] >= es[j] THEN j + 1 ELSE j END, m + CASE WHEN near THEN 1 ELSE 0 END
+  SELECT song_id, mode, cls, rs, es, rp, ep, CASE WHEN near OR rs[i] < es[j] THEN i + 1 ELSE i END, CASE WHEN near OR rs[i] >= es[j] THEN j + 1 ELSE j END, m + CASE WHEN near THEN 1 ELSE 0 END, CASE WHEN near THEN CAST(ep[j] - rp[i] AS DOUBLE) END
   FROM (SELECT *, round(abs(rs[i] - es[j]), 4) <= 0.05e0 AS near FROM steps WHERE i <= len(rs) AND j <= len(es))
-), matched AS (SELECT song_id, mode, sum(m) AS m FROM steps WHERE i > len(rs) OR j > len(es) GROUP BY song_id, mode
+)"""
+_MEASURED = _STEPS + """, matched AS (SELECT song_id, mode, sum(m) AS m FROM steps WHERE i > len(rs) OR j > len(es) GROUP BY song_id, mode
 ), per_song AS (
   SELECT song_id, mode, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0e0 END AS f1, 'd' || (o_custkey % 5) AS dataset, 'r' || o_orderkey AS sample_id
   FROM (SELECT song_id, mode, CASE WHEN n_est > 0 THEN m::DOUBLE / n_est ELSE 0e0 END AS p, m::DOUBLE / n_ref AS r
@@ -124,15 +126,21 @@ def _(t: Tables):
     return X.with_tolerance(t.ref_notes, datasets, tol).select("song_id", "ref_idx", "onset_tol")
 
 
-@query("pitch_error_hist", "SELECT CAST(least(floor(pitch_error + 0.5), 12) AS INTEGER) AS bin, count(*) AS n FROM @candidates WHERE pitch_error BETWEEN -12.5 AND 12.5 GROUP BY 1")
+_ERRORS = f"WITH RECURSIVE {_STEPS}, errors AS (SELECT pitch_error FROM steps WHERE mode = 'COn' AND pitch_error IS NOT NULL)"
+
+
+def _errors(t: Tables):
+    return X.match_notes(candidates(t), ("COn",))
+
+
+@query("pitch_error_hist", f"{_ERRORS} SELECT CAST(least(floor(pitch_error + 0.5), 12) AS INTEGER) AS bin, count(*) AS n FROM errors WHERE pitch_error BETWEEN -12.5 AND 12.5 GROUP BY 1")
 def _(t: Tables):
-    return X.pitch_error_hist(candidates(t).withColumn("pitch_error", F.col("e_pitch") - F.col("pitch")))
+    return X.pitch_error_hist(_errors(t))
 
 
-@query("pitch_error_stats", "SELECT count(*) AS n, round(avg(pitch_error), 6) AS mean, round(stddev_pop(pitch_error), 6) AS std, median(pitch_error)::DOUBLE AS median FROM @candidates")
+@query("pitch_error_stats", f"{_ERRORS} SELECT count(*) AS n, round(avg(pitch_error), 6) AS mean, round(stddev_pop(pitch_error), 6) AS std, median(pitch_error)::DOUBLE AS median FROM errors")
 def _(t: Tables):
-    out = X.pitch_error_stats(candidates(t).withColumn("pitch_error", F.col("e_pitch") - F.col("pitch")))
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    return X.pitch_error_stats(_errors(t)).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
 @query("threshold_sweep")

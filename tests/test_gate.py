@@ -159,6 +159,28 @@ def test_matching_against_brute_force(spark):
         assert len(mine) == want, mode
 
 
+def test_matching_in_onset_order(spark):
+    """Chords, repeats and a long unbroken run: matched by close onsets alone, notes pair up in the order of onset and number."""
+    rnd = random.Random(8)
+    notes = {"ref": [], "est": []}
+    for s, n in [(f"s{k}", 12) for k in range(20)] + [("long", 6000)]:
+        for rows in notes.values():
+            rows += [(s, i, rnd.randrange(0, 2 * n) * 0.01, 100.0, rnd.choice([60, 64, 72])) for i in range(n)]
+    cols = "song_id string, {} bigint, onset_s double, offset_s double, pitch int"
+    tables = [spark.createDataFrame(rows, cols.format(f"{k}_idx")) for k, rows in notes.items()]
+    got = {(r["song_id"], r["ref_idx"], r["est_idx"]) for r in X.match_notes(X.match_candidates(*tables), ("COn",)).collect()}
+    want = set()
+    for s in {r[0] for r in notes["ref"]}:
+        rs, es = (sorted((n[2], n[1]) for n in rows if n[0] == s) for rows in notes.values())
+        while rs and es:
+            near = round(abs(rs[0][0] - es[0][0]), 4) <= 0.05
+            if near:
+                want.add((s, rs[0][1], es[0][1]))
+            ahead = rs[0][0] < es[0][0]
+            rs, es = rs[near or ahead:], es[near or not ahead:]
+    assert got == want
+
+
 def test_matching_modes(spark):
     cols = "song_id string, {} bigint, onset_s double, offset_s double, pitch int"
     ref = spark.createDataFrame([("a", 0, 1.0, 2.0, 60), ("a", 1, 3.0, 4.0, 60), ("g", 0, 1.0, 2.0, 60), ("g", 1, 1.04, 2.0, 60), ("n", 0, 0.0, 1.0, 60)], cols.format("ref_idx"))
