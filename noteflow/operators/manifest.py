@@ -401,9 +401,9 @@ def path_collisions(m: DataFrame) -> DataFrame:
 
 def merge_runs(runs: DataFrame, shard_size: int = 1000) -> DataFrame:
     """Accepted records of several runs in run and id order, numbered on and put into shards."""
-    from noteflow.operators.scan import global_rank
+    from noteflow.operators.scan import rank_rows
 
-    ranked = global_rank(accepted(runs), ["run_idx", "sample_id"], "idx")
+    ranked = rank_rows(accepted(runs), ["run_idx", "sample_id"], "idx")
     return ranked.withColumn("shard", F.format_string("%03d", F.floor(F.col("idx") / shard_size)))
 
 
@@ -427,30 +427,32 @@ def stage_cap(samples: DataFrame, specs: list[str]) -> DataFrame:
 
 def interleaved_slice(df: DataFrame, order: list[str], part: int, of: int) -> DataFrame:
     """Every ``of``-th row of the total order, starting at ``part``."""
-    from noteflow.operators.scan import global_rank
+    from noteflow.operators.scan import rank_rows
 
-    return global_rank(df, order, "_rank").filter(F.col("_rank") % of == part).drop("_rank")
+    return rank_rows(df, order, "_rank", F.col("_rank") % of == part).drop("_rank")
 
 
 def stride_limit(df: DataFrame, order: list[str], stride: int, limit: int = 0) -> DataFrame:
     """Every ``stride``-th row of the total order, and of those the first ``limit``."""
-    from noteflow.operators.scan import global_rank
+    from noteflow.operators.scan import HELD_VALUES, rank_rows
 
-    ranked = global_rank(df, order, "_rank").filter(F.col("_rank") % stride == 0)
-    if limit:
-        ranked = ranked.filter(F.col("_rank") < stride * limit)
-    return ranked.drop("_rank")
+    last = stride * (limit - 1) + 1
+    if limit and last <= HELD_VALUES:
+        # Rows after the last wanted one needn't be ranked.
+        df = df.orderBy(*order).limit(last)
+    wanted = F.col("_rank") % stride == 0
+    return rank_rows(df, order, "_rank", wanted & (F.col("_rank") < stride * limit) if limit else wanted).drop("_rank")
 
 
 def relabel_drift(log: DataFrame) -> DataFrame:
     """Percentiles of onset and offset drift, and the accepted share."""
-    from noteflow.operators.scan import exact_percentiles
+    from noteflow.operators.scan import exact_quantiles
 
     spark = log.sparkSession
     out = None
     n_ok = log.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == ACCEPTED).alias("ok")).first()
-    for column in ("onset_drift_ms", "offset_drift_ms"):
-        got = exact_percentiles(log, column, [0.5, 0.9, 0.99])
+    ps = [0.5, 0.9, 0.99]
+    for column, got in exact_quantiles(log, {"onset_drift_ms": ps, "offset_drift_ms": ps}).items():
         p50, p90, p99 = got["values"]
         d = lambda x: F.lit(x).cast("double")
         row = spark.range(1).select(

@@ -19,6 +19,9 @@ from noteflow.session import ensure_checkpoint_dir
 HOT_ROWS = 2_000_000
 #: Dimensions up to this many rows are broadcast after being counted.
 BROADCAST_ROWS = 200_000
+#: Values between the ends of a bracket of a percentile that one task may sort, and the steps of a sketch that narrows one with more.
+HELD_VALUES = 200_000
+LADDER = 1000
 
 BLK = "_blk"
 
@@ -158,6 +161,50 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFram
     )
 
 
+def key_ranks(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """The distinct values of the order columns with ``name``, the 0-based position of their first row, and ``_ties``, their number of rows.
+
+    Only the order columns are sorted and written to the checkpoint folder, once for each distinct key; the other columns of a row stay where they are.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_ties")).orderBy(*order)
+    placed = keys.withColumns({"_mid": F.monotonically_increasing_id(), "_p": F.spark_partition_id()}).checkpoint()
+    sizes = placed.groupBy("_p").agg(F.sum("_ties").alias("_n"))
+    # One row per sort partition.
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    within = F.sum("_ties").over(Window.partitionBy("_p").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = placed.withColumn("_to", within).join(F.broadcast(offsets), "_p")
+    return ranked.select(*order, (F.col("_off") + F.col("_to") - F.col("_ties")).alias(name), "_ties")
+
+
+def rank_rows(df: DataFrame, order: list[str], name: str = "rank", keep: Column | None = None) -> DataFrame:
+    """Rows with their 0-based position in the total order; with ``keep``, a condition on ``name``, only those that meet it.
+
+    The positions of the keys that are wanted are joined to the rows, which are hashed but neither sorted nor written. Rows that
+    agree in all order columns are numbered on by a digest of the row; equal rows are interchangeable.
+    """
+    keep = F.lit(True) if keep is None else keep
+    keys = key_ranks(df, order, name)
+    columns = [*df.columns, name]
+
+    def of(wanted: DataFrame) -> DataFrame:
+        if set(df.columns) == set(order):
+            return wanted
+        named = wanted.select(*[F.col(c).alias(f"_of_{c}") for c in order], name, "_ties")
+        # Each key is there once, so the hash tables spread evenly.
+        return df.join(named.hint("shuffle_hash"), _same(df, named, order)).drop(*[f"_of_{c}" for c in order])
+
+    out = of(keys.filter("_ties = 1").filter(keep)).select(*columns)
+    if keys.filter("_ties > 1").isEmpty():
+        return out
+    tied = df.withColumn("_dig", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn("_key", F.struct(*order))
+    named = keys.filter("_ties > 1").select(F.struct(*order).alias("_of__key"), F.col(name).alias("_from"))
+    tied = tied.join(named.hint("shuffle_hash"), _same(tied, named, ["_key"]))
+    tied = ordered_scan(tied, "_key", ["_dig"], row_number="_rn")
+    return out.unionByName(tied.withColumn(name, F.col("_from") + F.col("_rn") - 1).filter(keep).select(*columns))
+
+
 def join_dimension(
     df: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -185,60 +232,93 @@ def join_few_keys(
 
 
 def exact_percentiles(df: DataFrame, column: str, ps: list[float], accuracy: int = 100_000) -> dict:
-    """Exact linear-interpolated percentiles of a numeric column, plus n, min, max.
+    """``exact_quantiles`` of one column."""
+    return exact_quantiles(df, {column: ps}, accuracy)[column]
+
 
-    A sketch brackets each wanted rank (its rank error is at most n/accuracy); only the distinct
-    values inside the brackets are then ordered, so no task sees the whole column.
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = 100_000, held: int | None = None) -> dict[str, dict]:
+    """Exact linear-interpolated percentiles of numeric columns, with their n, min, max and mean; null values are left out.
+
+    One pass sketches all columns and brackets every wanted rank (a sketch is off by at most n / accuracy ranks).
+    Each further pass counts for all open brackets what lies below them and on their ends, and sketches what lies strictly
+    between, which narrows a bracket some hundred times; once that is at most ``held`` values, the pass lists it
+    instead and the bracket is closed. Values on an end are only counted, so one value may fill any part of a column.
+    Two passes do for a billion values, three for a hundred billion.
     """
-    x = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    eps = 4.0 / accuracy
-    cuts = [min(1.0, max(0.0, q)) for p in ps for q in (p - eps, p + eps)]
-    sketch = x.agg(
-        F.count("x").alias("n"),
-        F.min("x").alias("lo"),
-        F.max("x").alias("hi"),
-        F.percentile_approx("x", cuts, accuracy).alias("q"),
-    ).first()
-    n = sketch["n"]
-    if n == 0:
-        return {"n": 0, "min": None, "max": None, "values": [None] * len(ps)}
-    out = []
-    spans = []
-    for i, p in enumerate(ps):
-        # Up to ``accuracy`` rows can all be ordered; beyond that the bracket holds both ranks.
-        lo = sketch["lo"] if n <= accuracy or p - eps <= 0 else sketch["q"][2 * i]
-        hi = sketch["hi"] if n <= accuracy or p + eps >= 1 else sketch["q"][2 * i + 1]
-        spans.append((lo, hi))
-    inside = F.lit(False)
-    for lo, hi in spans:
-        inside = inside | F.col("x").between(lo, hi)
-    below = x.agg(*[F.count_if(F.col("x") < lo).alias(f"b{i}") for i, (lo, _) in enumerate(spans)])
-    below = below.first()
-    counts = x.filter(inside).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    # The brackets hold at most about 10n/accuracy rows, as distinct values.
-    pick = []
-    for i, (p, (lo, hi)) in enumerate(zip(ps, spans)):
-        h = (n - 1) * p
-        lower, upper = int(h), min(int(h) + 1, n - 1)
-        w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-        cum = counts.filter(F.col("x").between(lo, hi)).withColumn(
-            "cum", F.sum("c").over(w) + F.lit(below[i])
-        )
-        pick.append(
-            cum.agg(
-                F.min(F.when(F.col("cum") > lower, F.col("x"))).alias("a"),
-                F.min(F.when(F.col("cum") > upper, F.col("x"))).alias("b"),
-            ).withColumn("i", F.lit(i))
-        )
-    union = pick[0]
-    for other in pick[1:]:
-        union = union.union(other)
-    found = {r["i"]: r for r in union.collect()}
-    for i, p in enumerate(ps):
-        h = (n - 1) * p
-        a, b = found[i]["a"], found[i]["b"]
-        out.append(a + (b - a) * (h - int(h)))
-    return {"n": n, "min": sketch["lo"], "max": sketch["hi"], "values": out}
+    if accuracy < 100:
+        raise ValueError("a sketch of less than 100 steps narrows nothing")
+    held = HELD_VALUES if held is None else held
+    slack = 4.0 / accuracy
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(wanted)])
+    cuts = [[min(1.0, max(0.0, q)) for p in ps for q in (p - slack, p + slack)] for ps in wanted.values()]
+    sketch = x.agg(*[
+        F.struct(
+            F.count(f"x{i}").alias("n"), F.min(f"x{i}").alias("min"), F.max(f"x{i}").alias("max"), F.avg(f"x{i}").alias("mean"),
+            F.percentile_approx(f"x{i}", q, accuracy).alias("q"),
+        ).alias(f"s{i}")
+        for i, q in enumerate(cuts)
+    ]).first()
+    # Per column the value of each wanted rank, and the brackets: column, ends, ranks, and the most values between the ends.
+    at: list[dict[int, float]] = [{} for _ in wanted]
+    todo = []
+    for i, ps in enumerate(wanted.values()):
+        n, q = sketch[f"s{i}"]["n"], sketch[f"s{i}"]["q"]
+        for j, p in enumerate(ps if n else []):
+            ranks = sorted({int((n - 1) * p), min(int((n - 1) * p) + 1, n - 1)})
+            if n <= held:
+                todo.append((i, sketch[f"s{i}"]["min"], sketch[f"s{i}"]["max"], ranks, n))
+            else:
+                todo.append((i, q[2 * j], q[2 * j + 1], ranks, math.ceil(n * (2 * slack + 2 / accuracy))))
+    while todo:
+        got = x.agg(*[_bracket(F.col(f"x{i}"), lo, hi, ranks, most <= held, accuracy).alias(f"b{k}") for k, (i, lo, hi, ranks, most) in enumerate(todo)]).first()
+        later = []
+        for k, (i, lo, hi, ranks, most) in enumerate(todo):
+            b, whole = got[f"b{k}"], sketch[f"s{i}"]
+            for m, rank in enumerate(ranks):
+                place = rank - b["below"] - b["on_lo"]
+                if place < -b["on_lo"]:  # a sketch was further off than it may be
+                    later.append((i, whole["min"], lo, [rank], whole["n"]))
+                elif place < 0:
+                    at[i][rank] = lo
+                elif place < b["inside"]:
+                    if most <= held:
+                        at[i][rank] = b["values"][m]
+                    else:
+                        later.append(_narrower(i, lo, hi, rank, place / b["inside"], b["inside"], b["values"], accuracy))
+                elif place < b["inside"] + b["on_hi"]:
+                    at[i][rank] = hi
+                else:
+                    later.append((i, hi, whole["max"], [rank], whole["n"]))
+        todo = later
+    out = {}
+    for i, (column, ps) in enumerate(wanted.items()):
+        s, values = sketch[f"s{i}"], []
+        for p in ps:
+            h = (s["n"] - 1) * p
+            a, b = (at[i][int(h)], at[i][min(int(h) + 1, s["n"] - 1)]) if s["n"] else (None, None)
+            values.append(a + (b - a) * (h - int(h)) if s["n"] else None)
+        out[column] = {"n": s["n"], "min": s["min"], "max": s["max"], "mean": s["mean"], "values": values}
+    return out
+
+
+def _bracket(x: Column, lo: float, hi: float, ranks: list[int], listed: bool, accuracy: int) -> Column:
+    """Counts around a bracket, and of what lies between its ends the values at ``ranks`` or a ladder of sketched quantiles."""
+    between = (x > lo) & (x < hi)
+    below, on_lo = F.count_if(x < lo), F.count_if(x == lo)
+    if listed:
+        inside = F.sort_array(F.collect_list(F.when(between, x)))
+        values = F.array(*[F.get(inside, (F.lit(rank) - below - on_lo).cast("int")) for rank in ranks])
+    else:
+        values = F.percentile_approx(F.when(between, x), [k / LADDER for k in range(1, LADDER)], accuracy)
+    on_hi = F.count_if((x == hi) & (x > lo))
+    return F.struct(below.alias("below"), on_lo.alias("on_lo"), F.count_if(between).alias("inside"), on_hi.alias("on_hi"), values.alias("values"))
+
+
+def _narrower(i: int, lo: float, hi: float, rank: int, part: float, inside: int, ladder: list[float], accuracy: int) -> tuple:
+    """The bracket between two rungs of the ladder that are surely on either side of the rank."""
+    down, up = math.floor((part - 4.0 / accuracy) * LADDER), math.ceil((part + 4.0 / accuracy) * LADDER)
+    most = math.ceil(inside * (min(up - down, LADDER) / LADDER + 2 / accuracy))
+    return i, ladder[down - 1] if down >= 1 else lo, ladder[up - 1] if up < LADDER else hi, [rank], most
 
 
 def with_halo(

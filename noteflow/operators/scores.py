@@ -91,13 +91,12 @@ def learn_min_note_ms(notes: DataFrame, percentile: float = 1.0, hops: dict[str,
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """One row: count, min, quartiles, max, mean; only the count when there are no values."""
     found = exact_percentiles(df, column, [0.25, 0.5, 0.75])
-    mean = df.agg(F.avg(F.col(column).cast("double")).alias("m")).first()["m"]
     p25, median, p75 = found["values"]
     d = lambda v: F.lit(v).cast("double")
     return df.sparkSession.range(1).select(
         F.lit(found["n"]).cast("long").alias("count"), d(found["min"]).alias("min"),
         d(p25).alias("p25"), d(median).alias("median"), d(p75).alias("p75"),
-        d(found["max"]).alias("max"), d(mean).alias("mean"),
+        d(found["max"]).alias("max"), d(found["mean"]).alias("mean"),
     )
 
 

@@ -109,6 +109,48 @@ def test_exact_percentiles(spark):
     assert got["values"] == pytest.approx([float(np.percentile(x, p)) for p in (0, 1, 25, 50, 99, 100)])
 
 
+@pytest.mark.parametrize("held", [3, 60, 5000])
+def test_quantiles_in_rounds(spark, held):
+    """Many rounds, one value that fills a third of a column, nulls, and two columns at once."""
+    import numpy as np
+
+    ps = [0.0, 0.1, 0.33, 0.34, 0.5, 0.66, 0.9, 1.0]
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 50.0).otherwise((F.col("id") * 7919) % 6007 / 60.0).alias("a"),
+        F.when(F.col("id") % 5 != 0, F.exp(F.col("id") / 300.0)).alias("b"), F.lit(None).cast("double").alias("none"),
+    )
+    got = scan.exact_quantiles(df, {"a": ps, "b": ps, "none": [0.5]}, accuracy=500, held=held)
+    rows = df.collect()
+    for c in "ab":
+        x = [r[c] for r in rows if r[c] is not None]
+        assert got[c]["values"] == pytest.approx([float(np.percentile(x, 100 * p)) for p in ps], rel=1e-12)
+        assert (got[c]["n"], got[c]["min"], got[c]["max"]) == (len(x), min(x), max(x)) and got[c]["mean"] == pytest.approx(np.mean(x))
+    assert got["none"] == {"n": 0, "min": None, "max": None, "mean": None, "values": [None]}
+
+
+def test_quantiles_of_many_distinct_values(spark):
+    """A million values, all within the first bracket."""
+    df = spark.range(1_000_000).select(((F.col("id") * 7919) % 1_000_003 / 7.0).alias("x"))
+    got = scan.exact_quantiles(df, {"x": [0.25, 0.5]}, accuracy=1000, held=2000)["x"]["values"]
+    x = sorted(i * 7919 % 1_000_003 / 7.0 for i in range(1_000_000))
+    assert got == pytest.approx([x[249_999] + 0.75 * (x[250_000] - x[249_999]), (x[499_999] + x[500_000]) / 2], rel=1e-14)
+
+
+def test_rank_rows(spark):
+    df = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 101 == 0, None).otherwise(F.sha1(F.col("id").cast("string"))).alias("k"),
+        F.lit("more").alias("_n"), F.floor(F.col("id") / 2).alias("v"),
+    ).repartition(7)
+    ranked = scan.rank_rows(df, ["k"])
+    got = ranked.collect()
+    assert ranked.columns == ["k", "_n", "v", "rank"] and sorted(r["rank"] for r in got) == list(range(600))
+    assert [r["k"] for r in sorted(got, key=lambda r: r["rank"])] == sorted((r["k"] for r in df.collect()), key=lambda k: (k is not None, k or ""))
+    assert table(scan.rank_rows(df, ["k"], keep=F.col("rank") % 7 == 2)) == table(ranked.filter("rank % 7 = 2"))
+    assert scan.rank_rows(df.filter("false"), ["k"]).count() == 0
+    plan = scan.rank_rows(df.filter("k <> 'hot'"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
 def test_global_rank(spark):
     df = spark.range(500).select(F.sha1(F.col("id").cast("string")).alias("k"))
     got = scan.global_rank(df.repartition(7), ["k"]).collect()
