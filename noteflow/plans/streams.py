@@ -66,6 +66,39 @@ def _(t: Tables):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
+_RATE = """SELECT start, start + INTERVAL 1 DAY AS "end", count(*) AS n, count(*) FILTER (event_type = 'purchase') AS accepted, count(*) FILTER (event_type = 'purchase') / count(*) AS rate
+FROM (SELECT event_type, {start} AS start FROM events) GROUP BY start"""
+
+
+def _local(out):
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query("stream_acceptance", _RATE.format(start="date_trunc('day', ts)::TIMESTAMP"))
+def _(t: Tables):
+    """Share of purchases of each day, once the day is closed."""
+    return _local(ST.drain(ST.stream_acceptance(_events(t, closing="2 days"), "1 day", accepted="purchase")))
+
+
+@query("stream_acceptance_sliding", _RATE.format(start="time_bucket(INTERVAL 6 HOUR, ts)::TIMESTAMP - unnest(range(4)) * INTERVAL 6 HOUR"))
+def _(t: Tables):
+    """The same over a day, every six hours, kept up to date by batches of one file."""
+    table = t.raw("events")
+    files = ST.stream_files(t.spark, ST.write_for_stream(table), table.schema, files=1).withColumns({"ts": F.col("ts").cast("timestamp"), "status": F.col("event_type")})
+    return _local(ST.drain(ST.stream_acceptance(files, "1 day", "6 hours", accepted="purchase", delay="3650 days"), "update", key=["start"]))
+
+
+@query("stream_resume", "SELECT user_id || '_' || event_type AS sample_id FROM events GROUP BY 1")
+def _(t: Tables):
+    """Every sample once over batches of one file and a restart in between."""
+    table = t.raw("events").select(F.concat_ws("_", F.col("user_id").cast("string"), "event_type").alias("sample_id"), "event_id")
+    work = ST._workdir(t.spark)
+    for part in (0, 1):
+        table.filter(F.col("event_id") % 2 == part).repartition(2).write.mode("append").parquet(f"{work}/in")
+        out = ST.drain_once(ST.stream_files(t.spark, f"{work}/in", table.schema, files=1), f"{work}/done")
+    return out.select("sample_id")
+
+
 @query(
     "stream_gate",
     """SELECT score_id AS sample_id, note_idx, count(*) AS frames FROM @note_rows n JOIN @frame_rows f ON f.sample_id = n.score_id AND t_ms BETWEEN onset_ms - 150 AND offset_ms + 150 GROUP BY ALL""",

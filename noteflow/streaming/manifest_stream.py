@@ -10,14 +10,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from noteflow.operators.scan import join_dimension
 from noteflow.schemas import MANIFEST
 from noteflow.session import ensure_checkpoint_dir
 
 
-def stream_files(spark: SparkSession, folder: str, schema, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
-    """Tail a folder of files with a fixed schema."""
+def stream_files(spark: SparkSession, folder: str, schema, fmt: str = "parquet", glob: str | None = None, files: int | None = None) -> DataFrame:
+    """Tail a folder of files with a fixed schema; at most ``files`` of them in a batch."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(folder)
@@ -46,6 +50,19 @@ def stream_phrases(rows: DataFrame, key: str, ts: str = "ts", gap: str = "5 minu
     )
 
 
+def stream_acceptance(
+    rows: DataFrame, width: str, slide: str | None = None, *, accepted: str = "accepted", ts: str = "ts", status: str = "status", delay: str = "1 hour",
+) -> DataFrame:
+    """Accepted share of the attempts in tumbling or, with ``slide``, sliding event-time windows: start, end, n, accepted, rate.
+
+    In append mode a window appears once, after the watermark has passed its end; in update mode with every batch that changes it. A row
+    later than ``delay`` no longer counts in a window that is closed.
+    """
+    span = F.window(ts, width, slide) if slide else F.window(ts, width)
+    counted = rows.withWatermark(ts, delay).groupBy(span.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(status) == accepted).alias("accepted"))
+    return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "accepted", (F.col("accepted") / F.col("n")).alias("rate"))
+
+
 def stream_gate(notes: DataFrame, frames: DataFrame, win: str = "150 milliseconds", longest: str = "1 minute", delay: str = "10 minutes") -> DataFrame:
     """Frames that reach a note's onset or offset windows, as both arrive.
 
@@ -76,14 +93,15 @@ def _workdir(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
+def drain(stream: DataFrame, mode: str = "append", *, key: list[str] | None = None, work: str | None = None) -> DataFrame:
     """Run over all files present and read the result back.
 
-    Append results go to one table of files; in complete mode each batch replaces the table, so the
-    last one is read. Offsets, state and results live in the session's shared checkpoint folder.
+    Append results go to one table of files. In complete mode each batch replaces the table, so the last one is read; in update mode the latest
+    row of each ``key`` is. Offsets, state and results live in the session's shared checkpoint folder; a run with the
+    ``work`` folder of an earlier one goes on from there.
     """
     spark = stream.sparkSession
-    work = _workdir(spark)
+    work = work or _workdir(spark)
     writer = stream.writeStream.option("checkpointLocation", f"{work}/state").trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", f"{work}/out").outputMode("append").start()
@@ -97,11 +115,47 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
     query = writer.foreachBatch(replace).outputMode(mode).start()
     query.awaitTermination()
+    if mode == "update":
+        names = stream.columns
+        if not batches:
+            return spark.createDataFrame([], stream.schema)
+        told = spark.read.option("basePath", f"{work}/out").parquet(f"{work}/out")
+        return told.groupBy(*key).agg(F.max_by(F.struct(*names), "epoch").alias("r")).select("r.*")
     if not batches:
         return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{work}/out/epoch={max(batches)}")
 
 
+def drain_once(stream: DataFrame, folder: str, key: str = "sample_id") -> DataFrame:
+    """Write each key of a stream once, however long it stays away and over any number of restarts; returns the table.
+
+    Watermarks forget keys; here the table that was written is what guards against repeats. A batch is reduced to one row for each key (the first
+    by the row's digest) and meets the keys written by earlier batches: those are cut down to the batch's own keys first, which
+    are broadcast if counted small, so only known keys are shuffled. A batch has its own folder, so one that is run again after a
+    failure replaces what it had written. Rows without a key are not written.
+    """
+    spark = stream.sparkSession
+    rows, schema = f"{folder}/rows", T.StructType([*stream.schema.fields, T.StructField("epoch", T.LongType())])
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        columns = batch.columns
+        first = F.min_by(F.struct(*columns), F.xxhash64(*[F.col(c) for c in columns]))
+        fresh = batch.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(first.alias("r")).select("r.*").persist()
+        try:
+            if epoch:
+                written = spark.read.schema(schema).option("basePath", rows).parquet(rows).filter(F.col("epoch") < epoch).select(key)
+                known = join_dimension(written, fresh.select(key), [key], "left_semi")
+                fresh.join(known, key, "left_anti").select(*columns).write.mode("overwrite").parquet(f"{rows}/epoch={epoch}")
+            else:
+                fresh.write.mode("overwrite").parquet(f"{rows}/epoch=0")
+        finally:
+            fresh.unpersist()
+
+    query = stream.writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(put).start()
+    query.awaitTermination()
+    return spark.read.schema(schema).option("basePath", rows).parquet(rows).drop("epoch")
+
+
 def write_for_stream(df: DataFrame, files: int = 4) -> str:
     """Write a table as files that a stream can pick up; returns the folder."""
     folder = f"{_workdir(df.sparkSession)}/in"
