@@ -248,14 +248,14 @@ def metric_by_source(scores: DataFrame, m: DataFrame) -> DataFrame:
 
 def threshold_sweep(
     post: DataFrame, ref: DataFrame, *, onset_grid: tuple = ONSET_GRID, frame_grid: tuple = FRAME_GRID,
-    mode: str = "COnPOff", onset_tol: float | str = ONSET_TOL_S,
+    mode: str = "COnPOff", onset_tol: float | str = ONSET_TOL_S, lengths: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean F1 over all songs of every (onset, frame) threshold pair; see ``best_thresholds``.
+    """Mean F1 over all songs of every (onset, frame) threshold pair; see ``best_thresholds``. ``lengths`` as in ``decode_poly``.
 
     Songs where a pair finds nothing count as zero without being listed.
     """
     grid = [(a, b) for a in onset_grid for b in frame_grid]
-    est = decode_poly(post, grid)
+    est = decode_poly(post, grid, lengths=lengths)
     keys = ("song_id", "onset_thresh", "frame_thresh")
     est = est.withColumn("est_idx", F.rint(F.col("onset_s") * 62.5).cast("long") * 128 + F.col("pitch"))
     pairs = match_candidates(ref, est, onset_tol)

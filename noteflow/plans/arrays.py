@@ -214,7 +214,7 @@ def _(t: Tables):
 
 @query("decode_poly")
 def _(t: Tables):
-    return D.decode_poly(t.posteriors, [(0.5, 0.3)])
+    return D.decode_poly(t.posteriors, [(0.5, 0.3)], lengths=t.song_lengths)
 
 
 VIEWS["mono_frames"] = """

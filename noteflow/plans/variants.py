@@ -12,6 +12,7 @@ from noteflow.plans.registry import query
 from noteflow.plans.views import VIEWS, seed_sql, uniform_sql
 from noteflow.sources import score_io
 from noteflow.sources.adapters import Tables
+from noteflow.transforms import Param, at_least, library
 
 MASTER = 42
 PROFILE = E.VariantProfile(
@@ -53,6 +54,19 @@ def _(t: Tables):
     return E.transpose(t.notes, PROFILE.transpose).drop("lyric")
 
 
+@query(
+    "named_transforms",
+    """SELECT score_id, note_idx, CAST(least(greatest(pitch_midi + o, 48), 84) AS INTEGER) AS pitch_midi, tr AS transform, printf('%.3f', offset_s - onset_s) AS held
+    FROM @notes, (VALUES (7, 't+7'), (-9, 't-9')) v(o, tr)""",
+)
+def _(t: Tables):
+    """A built-in transform by name, then one that a user has added."""
+    lib = library()
+    lib.register("held", lambda df, p: df.withColumn("held", F.format_string(f"%.{p['digits']}f", F.col("offset_s") - F.col("onset_s"))), "held string", adds=True, params={"digits": Param(at_least(0), 3)})
+    out = lib.chain(t.notes, [("transpose", {"offsets": [7, -9], "policy": "clamp", "window": (48, 84)}), ("held", {})])
+    return out.select("score_id", "note_idx", "pitch_midi", "transform", "held")
+
+
 @query(
     "transpose_clamp",
     """SELECT score_id, o AS "offset", count(*) FILTER (pitch_midi + o NOT BETWEEN 48 AND 84) AS clamped, min(least(greatest(pitch_midi + o, 48), 84)) AS lo, max(least(greatest(pitch_midi + o, 48), 84)) AS hi

@@ -162,6 +162,12 @@ class Tables:
             F.when(k % 29 == 0, F.lit(1.2)).otherwise(F.lit(0.9)).alias("peak"),
         )
 
+    @property
+    def song_lengths(self) -> DataFrame:
+        """Frames of each song on the 16 ms grid: up to its last note's end, and half a second of silence."""
+        last = F.max(F.rint(F.col("offset_ms") / 16.0)).cast("long")
+        return self.note_rows().groupBy(F.col("score_id").alias("song_id")).agg((last + 32).alias("n_frames"))
+
     @property
     def posteriors(self) -> DataFrame:
         """Sparse activations on the 16 ms grid; missing cells are zero."""

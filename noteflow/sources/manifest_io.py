@@ -48,12 +48,12 @@ def nest_manifest(flat: DataFrame) -> DataFrame:
     )
 
 
-def parse_manifest(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to manifest rows; blank lines are skipped, unreadable ones keep their text."""
+def parse_manifest(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON text to manifest rows; blank lines are skipped, unreadable ones keep their text. ``keep`` names columns of the lines to carry along."""
     schema = f"{MANIFEST}, {CORRUPT} string"
     text = lines.filter(F.trim(F.col(column)) != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return text.withColumn("_r", F.from_json(column, schema, options)).select("_r.*")
+    return text.withColumn("_r", F.from_json(column, schema, options)).select("_r.*", *keep)
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,7 +67,16 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    good, _ = split_corrupt(parse_manifest(spark.read.text(path)))
+    """Usable records of all files with their append order ``ord``, by which the last record of a sample can be told.
+
+    ``ord`` compares by the time a file was finished, then its name and the place of the line in it. Records that one append wrote by
+    several tasks have the order in which these ended.
+    """
+    meta = F.col("_metadata")
+    at = F.struct(meta["file_modification_time"].alias("time"), meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("n"))
+    # Inside one block of a file the last number grows with the lines.
+    lines = spark.read.text(path).select("value", at.alias("ord"))
+    good, _ = split_corrupt(parse_manifest(lines, keep=("ord",)))
     return good
 
 
