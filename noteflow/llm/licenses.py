@@ -221,6 +221,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """
     scratch = Scratch(docs.sparkSession, "licence-findings")
     model, cut, least = train(docs, doc_id, text)
+    # Only the probabilities are read, so nothing else is made for a unit.
+    model = model.setRawPredictionCol("").setPredictionCol("")
     judged = model.transform(_hashed(units(docs, doc_id, text)))
     judged = judged.filter(1 - vector_to_array("probability")[0] > least)
     # The families of one paragraph share what is not ``none`` or ``unknown``.
