@@ -207,6 +207,34 @@ def test_decode_poly(spark):
     assert D.decode_poly(post, [(0.5, 0.3), (0.95, 0.3)], infer_onsets=False).filter("onset_thresh > 0.9").count() == 0
 
 
+def test_decode_poly_to_the_end_of_a_song(spark):
+    """A missing cell is silence, so a note whose last cell is the last one stored ends a frame later if the song goes on."""
+    rows = [("a", f, 60, 0.9 if f == 10 else 0.0, 0.8) for f in range(9, 20)]
+    post = spark.createDataFrame(rows, "song_id string, frame bigint, pitch int, onset_p double, frame_p double")
+    ends = lambda n: [round(r["offset_s"], 3) for r in D.decode_poly(post, [(0.5, 0.3)], infer_onsets=False, lengths=n).collect()]
+    assert ends(None) == [0.304]
+    assert ends(spark.createDataFrame([("a", 40)], "song_id string, n_frames bigint")) == [0.32]
+
+
+def test_threshold_sweep_equals_single_decodings(spark):
+    rows = [
+        ("ab"[k % 2], f, p, on if f == start else 0.0, fr if start <= f < end else 0.0)
+        for k, (p, on, fr, start, end) in enumerate([(60, 0.9, 0.8, 10, 30), (64, 0.6, 0.4, 5, 25), (70, 0.8, 0.3, 40, 50), (72, 0.4, 0.9, 30, 60)])
+        for f in range(start - 2, end + 2)
+    ]
+    post = spark.createDataFrame(rows, "song_id string, frame bigint, pitch int, onset_p double, frame_p double").coalesce(1)
+    ref = spark.createDataFrame([("a", 0, 0.16, 0.48, 60), ("a", 1, 0.64, 0.8, 70), ("b", 0, 0.08, 0.4, 64), ("c", 0, 0.0, 1.0, 60)], "song_id string, ref_idx int, onset_s double, offset_s double, pitch int")
+    lengths = spark.createDataFrame([(s, 100) for s in "abc"], "song_id string, n_frames bigint")
+    swept = X.threshold_sweep(post, ref, onset_grid=(0.5,), frame_grid=(0.2, 0.5), mode="COn", lengths=lengths)
+    got = {(r["onset_thresh"], r["frame_thresh"]): r for r in swept.collect()}
+    for pair, row in got.items():
+        est = D.decode_poly(post, [pair], lengths=lengths).withColumn("est_idx", F.monotonically_increasing_id())
+        f1 = {r["song_id"]: r["f1"] for r in X.note_prf(ref, est, X.match_notes(X.match_candidates(ref, est), ("COn",))).filter("mode = 'COn'").collect()}
+        assert row["mean_f1"] == pytest.approx(sum(f1.values()) / 3) and row["n_est"] == est.count() and row["songs"] == 3
+    best = X.best_thresholds(swept).first()
+    assert best["mean_f1"] == max(r["mean_f1"] for r in got.values()) > 0
+
+
 def test_spaced_peaks(spark):
     peaks = spark.createDataFrame([("a", 1, 0.5), ("a", 3, 0.9), ("a", 5, 0.6), ("a", 20, 0.4)], "song_id string, frame bigint, height double")
     got = sorted(r["frame"] for r in D.spaced_peaks(peaks, 4).collect())
