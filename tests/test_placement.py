@@ -28,3 +28,22 @@ def test_partitions_follow_the_number_of_notes(spark, monkeypatch):
     t = adapters.Tables(spark, SF)
     assert t.f0_frames.rdd.getNumPartitions() == t.raw("lineitem").count() // 500 + 1
     assert t.note_rows() is t.note_rows()
+
+
+def test_rounds_are_digested_once_a_chunk(spark):
+    from pyspark.sql import functions as F
+
+    from noteflow.operators import lyrics as Y
+
+    notes = spark.range(60).select(F.when(F.col("id") < 40, "a").alias("score_id"), F.col("id").cast("int").alias("note_idx"))
+    inventory = spark.createDataFrame([(f"s{i}",) for i in range(7)], "syllable string")
+    out = Y.auto_syllables(notes, inventory, F.lit(3))
+    assert "Aggregate [score_id" in out._jdf.queryExecution().optimizedPlan().toString()
+    want = notes.withColumn("at", Y.keyed_position(F.pmod("note_idx", F.lit(7)), 7, F.lit(3), F.floor(F.col("note_idx") / 7)))
+    assert {(r.score_id, r.note_idx, r.syllable) for r in out.collect()} == {(r.score_id, r.note_idx, f"s{r.at}") for r in want.collect()}
+
+
+def test_runs_are_measured_once(spark):
+    catalog.load()
+    plan = QUERIES["pair_segments"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rms" not in plan and "Scan ExistingRDD" in plan.replace("LogicalRDD", "Scan ExistingRDD")
