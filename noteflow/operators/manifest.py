@@ -304,12 +304,16 @@ def criteria_volume(pairs: DataFrame, note_levels: DataFrame, checks: DataFrame)
     )
 
 
-def criteria_reexpand(expected_lines: DataFrame, stored_lines: DataFrame) -> DataFrame:
-    """One row: scores whose stored label lines equal the freshly derived ones, line by line."""
-    both = expected_lines.select("score_id", "note_idx", "line", F.lit(1).alias("e")).join(
-        stored_lines.select("score_id", "note_idx", F.col("line").alias("s_line"), F.lit(1).alias("s")), ["score_id", "note_idx"], "full"
+def criteria_reexpand(expected_lines: DataFrame, stored_lines: DataFrame, base: str | None = None) -> DataFrame:
+    """One row: scores whose stored label lines equal the freshly derived ones, line by line.
+
+    ``base``: a column of both that follows from the score. Lines that lie by it are compared and counted there, and no line is moved.
+    """
+    keys = [base, "score_id"] if base else ["score_id"]
+    both = expected_lines.select(*keys, "note_idx", "line", F.lit(1).alias("e")).join(
+        stored_lines.select(*keys, "note_idx", F.col("line").alias("s_line"), F.lit(1).alias("s")), [*keys, "note_idx"], "full"
     )
-    per = both.groupBy("score_id").agg(
+    per = both.groupBy(*keys).agg(
         F.bool_or(F.col("s") == 1).alias("stored"), F.bool_or(F.col("e") == 1).alias("made"),
         F.bool_and(F.coalesce(F.col("line") == F.col("s_line"), F.lit(False))).alias("same"),
     ).filter("stored AND made")

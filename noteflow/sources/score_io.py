@@ -71,14 +71,23 @@ def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return sort_notes(named.drop("path", "_line")), rejects
 
 
-def score_lines(notes: DataFrame) -> DataFrame:
-    """(score_id, note_idx, line): the lyric column is written for a score that has any lyric."""
+_LINE = "%.6f\t%.6f\t%d"
+
+
+def score_lines(notes: DataFrame, base: str | None = None) -> DataFrame:
+    """(score_id, note_idx, line): the lyric column is written for a score that has any lyric, and never without such a column.
+
+    ``base`` names a column that every score has one value of, the score it was made from; it is kept, and notes that lie by it stay where they lie.
+    """
+    keys = [base, "score_id"] if base else ["score_id"]
+    if "lyric" not in notes.columns:
+        return notes.select(*keys, "note_idx", F.format_string(_LINE, "onset_s", "offset_s", "pitch_midi").alias("line"))
     has = F.coalesce(F.col("lyric"), F.lit("")) != ""
-    sung = notes.groupBy("score_id").agg(F.bool_or(has).alias("_sung"))
-    plain = F.format_string("%.6f\t%.6f\t%d", "onset_s", "offset_s", "pitch_midi")
+    sung = notes.groupBy(*keys).agg(F.bool_or(has).alias("_sung"))
+    plain = F.format_string(_LINE, "onset_s", "offset_s", "pitch_midi")
     full = F.concat(plain, F.lit("\t"), F.coalesce("lyric", F.lit("")))
-    return notes.join(sung, "score_id").select(
-        "score_id", "note_idx", F.when(F.col("_sung"), full).otherwise(plain).alias("line")
+    return notes.join(sung, keys).select(
+        *keys, "note_idx", F.when(F.col("_sung"), full).otherwise(plain).alias("line")
     )
 
 

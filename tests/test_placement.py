@@ -47,3 +47,22 @@ def test_runs_are_measured_once(spark):
     catalog.load()
     plan = QUERIES["pair_segments"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "rms" not in plan and "Scan ExistingRDD" in plan.replace("LogicalRDD", "Scan ExistingRDD")
+
+
+def test_variants_are_compared_where_their_base_lies(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    plan = _plan(QUERIES["criteria_reexpand"](spark, SF))
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\), ENSURE_REQUIREMENTS", plan)
+    # One row per variant is left to move, and no line of it.
+    assert len(moved) <= 1, moved
+
+
+def test_lines_by_base_are_the_plain_lines(spark):
+    from noteflow.sources import score_io
+
+    rows = [("a__x", "a", 0, 0.0, 1.0, 60, None), ("a__x", "a", 1, 1.0, 2.0, 61, "la"), ("b__x", "b", 0, 0.0, 0.5, 62, None)]
+    notes = spark.createDataFrame(rows, "score_id string, base string, note_idx int, onset_s double, offset_s double, pitch_midi int, lyric string")
+    plain = lambda df: sorted(tuple(r) for r in df.select("score_id", "note_idx", "line").collect())
+    assert plain(score_io.score_lines(notes, "base")) == plain(score_io.score_lines(notes))
+    assert plain(score_io.score_lines(notes.drop("lyric"))) == plain(score_io.score_lines(notes.withColumn("lyric", notes.base.substr(9, 1))))
