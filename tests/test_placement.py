@@ -66,3 +66,39 @@ def test_lines_by_base_are_the_plain_lines(spark):
     plain = lambda df: sorted(tuple(r) for r in df.select("score_id", "note_idx", "line").collect())
     assert plain(score_io.score_lines(notes, "base")) == plain(score_io.score_lines(notes))
     assert plain(score_io.score_lines(notes.drop("lyric"))) == plain(score_io.score_lines(notes.withColumn("lyric", notes.base.substr(9, 1))))
+
+
+def test_mono_frames_are_made_for_peaks_and_votes_only(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    plan = _plan(QUERIES["decode_mono"](spark, SF))
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_mono_notes_of_cut_songs(spark, monkeypatch):
+    from noteflow.operators import decode as D
+    from noteflow.operators import scan
+
+    rows = adapters.Tables(spark, SF).mono_posteriors.filter("hash(song_id) % 40 = 0").localCheckpoint()
+    # A note at the song's end, a drop right after an onset, and frames that are missing.
+    rows = rows.filter("frame % 37 <> 5")
+    found = lambda: sorted(tuple(r) for r in D.decode_mono(rows, 0.4, 0.5).collect())
+    whole = found()
+    monkeypatch.setattr(scan, "HOT_ROWS", 40)
+    assert whole and found() == whole
+    # Written out: the frames from each onset up to its end, and the mode of their pitches.
+    want, by_song = [], {}
+    for r in rows.collect():
+        by_song.setdefault(r.song_id, []).append((r.frame, r.vad_p, r.oct.index(max(r.oct)) * 12 + r.pc.index(max(r.pc))))
+    peaks = {(r.song_id, r.frame) for r in D.plateau_peaks(rows, "onset_p", 0.4).collect()}
+    for song, frames in by_song.items():
+        frames.sort()
+        onsets = [f for f, _, _ in frames if (song, f) in peaks]
+        for k, on in enumerate(onsets):
+            seg = [x for x in frames if on <= x[0] and (k + 1 == len(onsets) or x[0] < onsets[k + 1])]
+            end = min([f for f, v, _ in seg if v < 0.5 and f > on], default=seg[-1][0] + 1)
+            held = [m for f, _, m in seg if f < end]
+            pitch = min(set(held), key=lambda m: (-held.count(m), m))
+            if end * D.FRAME_S - on * D.FRAME_S >= 0.07 and 24 <= pitch <= 108:
+                want.append((song, on * D.FRAME_S, end * D.FRAME_S, pitch))
+    assert whole == sorted(want)
