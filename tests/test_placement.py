@@ -102,3 +102,49 @@ def test_mono_notes_of_cut_songs(spark, monkeypatch):
             if end * D.FRAME_S - on * D.FRAME_S >= 0.07 and 24 <= pitch <= 108:
                 want.append((song, on * D.FRAME_S, end * D.FRAME_S, pitch))
     assert whole == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["decode_poly", "inferred_onsets", "onset_peaks"])
+def test_cells_stay_with_their_song(spark, name, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    plan = _plan(QUERIES[name](spark, SF))
+    assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_COL" not in plan
+    assert plan.count("REPARTITION_BY_NUM") <= 2
+
+
+def test_cut_songs_decode_and_score_like_whole_ones(spark, monkeypatch):
+    from noteflow.operators import decode as D
+    from noteflow.operators import matching as X
+    from noteflow.operators import scan
+
+    t = adapters.Tables(spark, SF)
+    some = lambda df: df.filter("hash(song_id) % 200 = 0").localCheckpoint()
+    post, ref, lengths = some(t.posteriors), some(t.ref_notes), some(t.song_lengths)
+    pairs = [(0.3, 0.2), (0.5, 0.3), (0.9, 0.6)]
+    rows = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+
+    def results():
+        yield rows(D.decode_poly(post, pairs, lengths=lengths))
+        yield rows(D.decode_poly(post, pairs))
+        yield rows(D.inferred_onsets(post))
+        yield rows(D.onset_peaks(post).select(*post.columns, "is_peak"))
+        for mode in ("COnPOff", "COnOff"):
+            yield rows(X.threshold_sweep(post, ref, onset_grid=(0.3, 0.9), frame_grid=(0.2, 0.6), mode=mode, lengths=lengths))
+
+    whole = list(results())
+    assert all(whole)
+    monkeypatch.setattr(scan, "HOT_ROWS", 150)
+    for a, b in zip(whole, results(), strict=True):
+        assert a == b
+
+
+def test_pairs_that_decode_alike_share_a_list():
+    from noteflow.operators import decode as D
+
+    nan = float("nan")
+    frame, pitch = list(range(12)) + list(range(12)), [60] * 12 + [61] * 12
+    value, peak = [0.8] * 12 + [0.4] * 12, [nan, 0.9] + [nan] * 10 + [nan, 0.6] + [nan] * 10
+    found = D.decodings(frame, pitch, value, peak, 40, [(0.1, 0.1), (0.5, 0.3), (0.7, 0.3), (0.5, 0.5)], 8, 4)
+    assert found[0] is found[1] and found[2] is not found[1]
+    assert found[0] == [(1, 12, 61)] and found[2] == [(1, 12, 60)] and found[3] == [(1, 12, 60)]
