@@ -104,11 +104,12 @@ def _(t: Tables):
     """SELECT score_id AS sample_id, note_idx, count(*) AS frames FROM @note_rows n JOIN @frame_rows f ON f.sample_id = n.score_id AND t_ms BETWEEN onset_ms - 150 AND offset_ms + 150 GROUP BY ALL""",
 )
 def _(t: Tables):
-    """Notes and frames written as files, joined as streams, counted per note."""
+    """Notes, and frames in packets, written as files, joined as streams, counted per note."""
     at = lambda ms: F.timestamp_millis(ms + F.lit(1_700_000_000_000))
     notes = t.note_rows().select(F.col("score_id").alias("sample_id"), "note_idx", at(F.col("onset_ms")).alias("on_ts"), at(F.col("offset_ms")).alias("off_ts"))
     frames = t.frame_rows().select("sample_id", "frame_idx", at(F.col("t_ms")).alias("ts"))
-    a, b = ST.write_for_stream(notes), ST.write_for_stream(frames)
+    packets = ST.frame_packets(frames, "500 milliseconds")
+    a, b = ST.write_for_stream(notes, None), ST.write_for_stream(packets, None)
     # Most notes are longer than the bound, so they are joined in pieces.
-    joined = ST.stream_gate(ST.stream_files(t.spark, a, notes.schema), ST.stream_files(t.spark, b, frames.schema), longest="200 milliseconds")
+    joined = ST.stream_gate(ST.stream_files(t.spark, a, notes.schema), ST.stream_files(t.spark, b, packets.schema), longest="200 milliseconds", packet="500 milliseconds")
     return ST.drain(joined).groupBy("sample_id", "note_idx").agg(F.count(F.lit(1)).alias("frames"))

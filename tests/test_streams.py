@@ -51,3 +51,23 @@ def test_keys_stay_single_for_good(feed, tmp_path):
     assert sorted((r["sample_id"], r["status"]) for r in out.collect()) == [("a", "accepted"), ("b", "rejected"), ("c", "accepted"), ("d", "accepted")]
     # Nothing new.
     assert ST.drain_once(feed(("d", "accepted", 24 * 900)), folder).count() == 4
+
+
+def test_gate_by_packets_equals_gate_by_frames(spark):
+    from pyspark.sql import functions as F
+
+    at = lambda ms: F.timestamp_millis(ms + F.lit(1_700_000_000_000))
+    ids = F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("sample_id")
+    notes = spark.range(12).select(ids, F.col("id").cast("int").alias("note_idx"), at(F.col("id") * 170).alias("on_ts"), at(F.col("id") * 170 + 30 + F.col("id") % 5 * 260).alias("off_ts"))
+    frames = spark.range(360).select(ids, F.col("id").alias("frame_idx"), at(F.floor(F.col("id") / 3) * 20).alias("ts"))
+    packets = ST.frame_packets(frames, "500 milliseconds")
+    assert packets.count() == 15 and packets.select(F.sum(F.size("frames"))).first()[0] == 360
+
+    def reached(b, **more):
+        sides = [ST.stream_files(spark, ST.write_for_stream(df, None), df.schema) for df in (notes, b)]
+        rows = ST.drain(ST.stream_gate(*sides, longest="200 milliseconds", **more)).select("sample_id", "note_idx", "frame_idx", "ts").collect()
+        return sorted(map(tuple, rows))
+
+    near = F.col("ts").between(F.col("on_ts") - F.expr("INTERVAL 150 milliseconds"), F.col("off_ts") + F.expr("INTERVAL 150 milliseconds"))
+    want = notes.join(frames, "sample_id").filter(near).select("sample_id", "note_idx", "frame_idx", "ts").collect()
+    assert reached(frames) == reached(packets, packet="500 milliseconds") == sorted(map(tuple, want))
