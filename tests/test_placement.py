@@ -148,3 +148,10 @@ def test_pairs_that_decode_alike_share_a_list():
     found = D.decodings(frame, pitch, value, peak, 40, [(0.1, 0.1), (0.5, 0.3), (0.7, 0.3), (0.5, 0.5)], 8, 4)
     assert found[0] is found[1] and found[2] is not found[1]
     assert found[0] == [(1, 12, 61)] and found[2] == [(1, 12, 60)] and found[3] == [(1, 12, 60)]
+
+
+def test_frames_of_both_gates_of_a_repair_stay(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(QUERIES["relabel_repair"](spark, SF)))
+    assert moved and not [m for m in moved if re.search(r"_blk|_bin|frame", m)], moved
