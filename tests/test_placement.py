@@ -155,3 +155,24 @@ def test_frames_of_both_gates_of_a_repair_stay(spark, monkeypatch):
     catalog.load()
     moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(QUERIES["relabel_repair"](spark, SF)))
     assert moved and not [m for m in moved if re.search(r"_blk|_bin|frame", m)], moved
+
+
+def test_repair_aligns_samples_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    assert "REPARTITION_BY_COL" not in _plan(QUERIES["align_dtw"](spark, SF))
+    plan = _plan(QUERIES["relabel_repair"](spark, SF))
+    # What was aligned is placed with the frames before it is listed by time bin, so no listed note moves.
+    listed = [m for m in re.findall(r"Exchange hashpartitioning\([^)]*\), ENSURE_REQUIREMENTS.*\n(.*)", plan) if "Generate" in m]
+    assert not listed and "RoundRobin" not in plan
+
+
+@pytest.mark.parametrize("name", ["verdict", "nearest_onset", "last_offset", "note_frame_join", "note_checks_pyin", "note_checks_crepe"])
+def test_notes_are_shuffled_once(spark, name, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    final = _plan(df).split("Initial Plan")[0]
+    placed = [line for line in final.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(placed) > 1 and sum("ReusedExchange" not in line for line in placed) == 1
