@@ -176,3 +176,15 @@ def test_notes_are_shuffled_once(spark, name, monkeypatch):
     final = _plan(df).split("Initial Plan")[0]
     placed = [line for line in final.splitlines() if "REPARTITION_BY_NUM" in line]
     assert len(placed) > 1 and sum("ReusedExchange" not in line for line in placed) == 1
+
+
+def test_labels_are_derived_from_frames_counted_once(spark, monkeypatch):
+    from noteflow.operators import scan
+
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    counted, plain = [], scan._large_groups
+    monkeypatch.setattr(scan, "_large_groups", lambda df, key, most: counted.append(key) or plain(df, key, most))
+    QUERIES["derive_labels"](spark, SF)
+    # The scores themselves, and nothing that is made from them.
+    assert len(counted) == 1, counted
