@@ -188,3 +188,15 @@ def test_labels_are_derived_from_frames_counted_once(spark, monkeypatch):
     QUERIES["derive_labels"](spark, SF)
     # The scores themselves, and nothing that is made from them.
     assert len(counted) == 1, counted
+
+
+def test_stitched_cells_are_made_once(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    from noteflow.operators import decode as D
+
+    plan = _plan(QUERIES["stitch_chunks"](spark, SF))
+    # The cells, the windows that see a cell, and no second making for the ends; nothing is sorted but the notes.
+    assert plan.count("sequence((f_on") == 1 and "SortMergeJoin" not in plan
+    t = adapters.Tables(spark, SF)
+    assert t.cell_ends.exceptAll(D.song_ends(t.posteriors)).isEmpty() and D.song_ends(t.posteriors).exceptAll(t.cell_ends).isEmpty()
