@@ -200,3 +200,15 @@ def test_stitched_cells_are_made_once(spark, monkeypatch):
     assert plan.count("sequence((f_on") == 1 and "SortMergeJoin" not in plan
     t = adapters.Tables(spark, SF)
     assert t.cell_ends.exceptAll(D.song_ends(t.posteriors)).isEmpty() and D.song_ends(t.posteriors).exceptAll(t.cell_ends).isEmpty()
+
+
+def test_steady_window_reads_a_row_once(spark):
+    import math
+
+    from noteflow.operators import clips as C
+
+    level = [0.1, 0.3, 0.2, 0.2, 0.2, None, 0.2, 0.2, 0.2, 0.5]
+    frames = spark.createDataFrame([("a", k, x) for k, x in enumerate(level)] + [("b", k, 0.0) for k in range(5)] + [("c", k, 0.4) for k in range(3)], "sample_id string, frame_idx long, rms double")
+    out = C.steady_window(frames, 3, 4)
+    assert "stddev" not in _plan(out)
+    assert {r.sample_id: (r.start_frame, r.cv) for r in out.collect()} == {"a": (2, 0.0), "b": (0, math.inf), "c": (0, None)}
