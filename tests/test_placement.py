@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from noteflow.plans import catalog
 from noteflow.plans.registry import QUERIES
@@ -212,3 +213,13 @@ def test_steady_window_reads_a_row_once(spark):
     out = C.steady_window(frames, 3, 4)
     assert "stddev" not in _plan(out)
     assert {r.sample_id: (r.start_frame, r.cv) for r in out.collect()} == {"a": (2, 0.0), "b": (0, math.inf), "c": (0, None)}
+
+
+def test_words_are_cut_once(spark):
+    from noteflow.operators import lyrics as Y
+
+    words = ["table", "moonlight", "the", "make", "sky", "area", "e", "ae", "strengths", "little", "winter"]
+    df = spark.createDataFrame([(w,) for w in words], "word string").select("word", Y._split(F.col("word"), Y.ENGLISH_VOWELS, True).alias("syl"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("split(") == 1
+    assert {r.word: r.syl for r in df.collect()}["table"] == ["tab", "le"] and all("".join(r.syl) == r.word for r in df.collect())
