@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteflow.plans.registry import query
@@ -10,6 +14,10 @@ from noteflow.sources.manifest_io import append_manifest
 from noteflow.streaming import manifest_stream as ST
 
 
+#: Notes whose pieces, and the packets of their samples, are the state of one stream.
+SHARD_NOTES = 2_000_000
+
+
 def _events(t: Tables, closing: str | None = None):
     """The events as a stream. With ``closing``, a last row that much later moves the watermark past all others."""
     table = t.raw("events")
@@ -104,12 +112,26 @@ def _(t: Tables):
     """SELECT score_id AS sample_id, note_idx, count(*) AS frames FROM @note_rows n JOIN @frame_rows f ON f.sample_id = n.score_id AND t_ms BETWEEN onset_ms - 150 AND offset_ms + 150 GROUP BY ALL""",
 )
 def _(t: Tables):
-    """Notes, and frames in packets, written as files, joined as streams, counted per note."""
+    """Notes, and frames in packets, written as files, joined as streams, counted per note.
+
+    All samples begin at the same time, so no watermark lets state go while the files are read. Samples are dealt to shards, and each
+    shard is a stream of its own, one after the other.
+    """
     at = lambda ms: F.timestamp_millis(ms + F.lit(1_700_000_000_000))
     notes = t.note_rows().select(F.col("score_id").alias("sample_id"), "note_idx", at(F.col("onset_ms")).alias("on_ts"), at(F.col("offset_ms")).alias("off_ts"))
     frames = t.frame_rows().select("sample_id", "frame_idx", at(F.col("t_ms")).alias("ts"))
     packets = ST.frame_packets(frames, "500 milliseconds")
-    a, b = ST.write_for_stream(notes, None), ST.write_for_stream(packets, None)
-    # Most notes are longer than the bound, so they are joined in pieces.
-    joined = ST.stream_gate(ST.stream_files(t.spark, a, notes.schema), ST.stream_files(t.spark, b, packets.schema), longest="200 milliseconds", packet="500 milliseconds")
-    return ST.drain(joined).groupBy("sample_id", "note_idx").agg(F.count(F.lit(1)).alias("frames"))
+    shards = math.ceil((t.raw("lineitem").count() + 1) / SHARD_NOTES)
+    # Samples that lie in one partition are of one shard, so a partition is one file.
+    slots = max(t.parts or 1, shards)
+    shard = F.floor(F.pmod(F.hash("sample_id"), F.lit(slots)) * shards / slots)
+    a, b = (ST.shard_folders(t.spark, ST.write_for_stream(df, None, shard=shard), df.schema) for df in (notes, packets))
+
+    def joined(k: int) -> DataFrame:
+        # Most notes are longer than the bound, so they are joined in pieces.
+        sides = ST.stream_files(t.spark, a[k], notes.schema), ST.stream_files(t.spark, b[k], packets.schema)
+        return ST.drain(ST.stream_gate(*sides, longest="200 milliseconds", packet="500 milliseconds"), closing=False).select("sample_id", "note_idx")
+
+    met = [joined(k) for k in sorted(a.keys() & b.keys())]
+    met = reduce(DataFrame.unionByName, met) if met else notes.select("sample_id", "note_idx").limit(0)
+    return met.groupBy("sample_id", "note_idx").agg(F.count(F.lit(1)).alias("frames"))

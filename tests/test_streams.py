@@ -71,3 +71,35 @@ def test_gate_by_packets_equals_gate_by_frames(spark):
     near = F.col("ts").between(F.col("on_ts") - F.expr("INTERVAL 150 milliseconds"), F.col("off_ts") + F.expr("INTERVAL 150 milliseconds"))
     want = notes.join(frames, "sample_id").filter(near).select("sample_id", "note_idx", "frame_idx", "ts").collect()
     assert reached(frames) == reached(packets, packet="500 milliseconds") == sorted(map(tuple, want))
+
+
+def test_gate_by_shards(spark, monkeypatch):
+    """A stream holds the state of its own shard's samples only; together they meet what one stream over all meets."""
+    from pyspark.sql import functions as F
+
+    from noteflow.plans import catalog, streams
+    from noteflow.plans.registry import QUERIES
+
+    catalog.load()
+
+    held = []
+
+    def drain(stream, *a, **k):
+        out = drained(stream, *a, **k)
+        held.append({r["sample_id"] for r in out.select("sample_id").distinct().collect()})
+        return out
+
+    drained = ST.drain
+    monkeypatch.setattr(ST, "drain", drain)
+    rows = lambda: sorted(map(tuple, QUERIES["stream_gate"](spark, "/root/testdata/sf0.001").collect()))
+    whole = rows()
+    assert len(held) == 1 and sum(r[2] for r in whole) > 0
+    everyone = held.pop()
+    monkeypatch.setattr(streams, "SHARD_NOTES", 1500)
+    assert rows() == whole
+    assert len(held) > 2 and sum(map(len, held)) == len(set.union(*held)) == len(everyone)
+
+    df = spark.range(30).select(F.col("id"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("sample_id"))
+    folders = ST.shard_folders(spark, ST.write_for_stream(df, None, shard=F.floor(F.col("id") % 6 / 2)), df.schema)
+    assert sorted(folders) == [0, 1, 2] and all(spark.read.parquet(f).count() == 10 for f in folders.values())
+    assert ST.shard_folders(spark, ST.write_for_stream(df.limit(0), None, shard=F.floor("id")), df.schema) == {}
