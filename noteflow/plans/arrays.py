@@ -209,12 +209,12 @@ SELECT *, lag(frame) OVER w AS l1, lag(frame_p) OVER w AS v1, lag(frame, 2) OVER
 
 @query("inferred_onsets", "SELECT song_id, frame, pitch, round(onset_p, 6) AS onset_p FROM @raised")
 def _(t: Tables):
-    return D.inferred_onsets(t.posteriors).select("song_id", "frame", "pitch", F.round("onset_p", 6).alias("onset_p"))
+    return D.inferred_onsets(t.posteriors, t.cell_counts).select("song_id", "frame", "pitch", F.round("onset_p", 6).alias("onset_p"))
 
 
 @query("decode_poly")
 def _(t: Tables):
-    return D.decode_poly(t.posteriors, [(0.5, 0.3)], lengths=t.song_lengths)
+    return D.decode_poly(t.posteriors, [(0.5, 0.3)], lengths=t.song_lengths, sizes=t.cell_counts)
 
 
 VIEWS["mono_frames"] = """

@@ -223,3 +223,22 @@ def test_words_are_cut_once(spark):
     plan = df._jdf.queryExecution().analyzed().toString()
     assert plan.count("regexp_extract_all(") == 1 and plan.count("split(") == 1
     assert {r.word: r.syl for r in df.collect()}["table"] == ["tab", "le"] and all("".join(r.syl) == r.word for r in df.collect())
+
+
+def test_songs_are_sized_without_their_cells(spark, monkeypatch):
+    from noteflow.operators import scan
+
+    catalog.load()
+    t = adapters.Tables(spark, SF)
+    most, made = (df.groupBy("song_id").agg(n.alias(c)) for df, n, c in ((t.cell_counts, F.sum("rows"), "most"), (t.posteriors, F.count(F.lit(1)), "made")))
+    both = made.join(most, "song_id", "left")
+    assert both.filter("most >= made").count() == both.count() > 0
+    told, plain = [], scan._large_groups
+    monkeypatch.setattr(scan, "_large_groups", lambda df, key, *a: told.extend([(a[1].columns, a[0])] if key == "song_id" else []) or plain(df, key, *a))
+    for name in ("inferred_onsets", "decode_poly", "threshold_sweep"):
+        QUERIES[name](spark, SF)
+    assert told == [(["song_id", "rows"], scan.HOT_ROWS)] * 3
+    # A song that may have more rows than fit is cut, others are not.
+    post = t.posteriors
+    small, large = scan.by_size(post, "song_id", 10, spark.createDataFrame([("s1", 6), ("s1", 6), ("s2", 9)], "song_id string, rows long"))
+    assert {r[0] for r in large.select("song_id").distinct().collect()} == {"s1"} and small.filter("song_id = 's1'").isEmpty()
