@@ -242,3 +242,30 @@ def test_songs_are_sized_without_their_cells(spark, monkeypatch):
     post = t.posteriors
     small, large = scan.by_size(post, "song_id", 10, spark.createDataFrame([("s1", 6), ("s1", 6), ("s2", 9)], "song_id string, rows long"))
     assert {r[0] for r in large.select("song_id").distinct().collect()} == {"s1"} and small.filter("song_id = 's1'").isEmpty()
+
+
+def test_parts_of_a_song_decode_once_for_all_pairs(monkeypatch):
+    from noteflow.operators import decode as D
+    from noteflow.operators import matching as X
+
+    # Three notes that cannot touch: two far apart at one pitch, one at another; and two that do, at adjacent pitches.
+    spans = [(0, 60, 0.9), (100, 60, 0.5), (0, 70, 0.7), (50, 80, 0.9), (55, 81, 0.6)]
+    cells = sorted((p, f, level, level if f == on else float("nan")) for on, p, level in spans for f in range(on, on + 12))
+    pitch, frame, value, peak = map(list, zip(*cells))
+    parts = D._apart(frame, pitch, 8)
+    assert sorted(map(len, parts)) == [12, 12, 12, 24]
+    grid = [(a / 10, b / 10) for a in range(1, 10) for b in range(1, 10)]
+    made, plain = [], D._Sounding
+    monkeypatch.setattr(D, "_Sounding", lambda loud: made.append(1) or plain(loud))
+    got = D.decodings_by_part(frame, pitch, value, peak, 200, grid, 8, 4)
+    # Once for each part, and again for what is left of the two that touch.
+    assert len(made) <= 8
+    whole = dict(zip(grid, got))
+    for (on, fr), found in whole.items():
+        alone = [(s, s + 12, p) for s, p, level in spans[:3] if level >= on and level >= fr]
+        assert sorted(n for part in found for n in part if n[2] < 80) == sorted(alone)
+    ref = [(0.0, 12 * D.FRAME_S, 60, 0.05), (0.0, 12 * D.FRAME_S, 70, 0.05), (0.01, 12 * D.FRAME_S, 60, 0.05)]
+    scorer = X._Scorer(ref, X.MODES["COnP"])
+    assert scorer.matched(whole[0.1, 0.1]) == 2 and scorer.matched(whole[0.8, 0.1]) == 1 and scorer.matched([]) == 0
+    # Two parts whose notes share a partner.
+    assert X._Scorer(ref[:1], X.MODES["COn"]).matched([[(0, 12, 60)], [(0, 12, 70)]]) == 1
