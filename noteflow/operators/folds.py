@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 
 
 def sorted_fold(
-    df: DataFrame, keys: list[str], order: list[str], step: Callable[[], Callable], outputs: str
+    df: DataFrame, keys: list[str], order: list[str], step: Callable[[], Callable], outputs: str, lying: bool = False
 ) -> DataFrame:
     """Add the columns ``outputs``; ``step()`` makes ``fn(new_group, row_tuple) -> values``.
 
-    The row tuple holds the ``order`` columns followed by the other non-key columns.
+    The row tuple holds the ``order`` columns followed by the other non-key columns. With ``lying`` the rows lie by the first key, and
+    those of a group follow each other in ``order``; they are not moved.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     columns = [*keys, *order, *rest]
@@ -45,7 +46,8 @@ def sorted_fold(
                 pdf[field.name] = pd.Series(col, index=pdf.index, dtype=kind)
             yield pdf
 
-    placed = df.select(*columns).repartition(*keys).sortWithinPartitions(*keys, *order)
+    placed = df.select(*columns)
+    placed = placed.sortWithinPartitions(keys[0], *order) if lying else placed.repartition(*keys).sortWithinPartitions(*keys, *order)
     return placed.mapInPandas(run, schema)
 
 

@@ -275,7 +275,7 @@ WHERE n >= 4 AND span >= 1 AND pitch_midi + shift BETWEEN 55 AND 79)) WHERE (n -
 
 @query("segment_phrases", "SELECT score_id, note_idx, onset_s, offset_s, pitch AS pitch_midi FROM @phrases")
 def _(t: Tables):
-    return S.segment_phrases(t.long_notes)
+    return S.segment_phrases(t.long_notes, parts=t.long_parts)
 
 
 @query(

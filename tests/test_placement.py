@@ -269,3 +269,23 @@ def test_parts_of_a_song_decode_once_for_all_pairs(monkeypatch):
     assert scorer.matched(whole[0.1, 0.1]) == 2 and scorer.matched(whole[0.8, 0.1]) == 1 and scorer.matched([]) == 0
     # Two parts whose notes share a partner.
     assert X._Scorer(ref[:1], X.MODES["COn"]).matched([[(0, 12, 60)], [(0, 12, 70)]]) == 1
+
+
+def test_phrases_move_their_notes_once(spark, monkeypatch):
+    from noteflow.operators import scan
+    from noteflow.operators import scores as S
+
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    counted, plain = [], scan._large_groups
+    monkeypatch.setattr(scan, "_large_groups", lambda df, key, *a: counted.append(key) or plain(df, key, *a))
+    got = QUERIES["segment_phrases"](spark, SF)
+    # The scores themselves, and nothing that is made from them.
+    assert len(counted) == 1
+    plan = _plan(got)
+    assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_COL" not in plan
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(got) == rows(S.segment_phrases(adapters.Tables(spark, SF).long_notes)) != []
+    done = [line for line in _plan(got).split("Initial Plan")[0].splitlines() if "REPARTITION_BY_NUM" in line]
+    # The notes before the fold and after it.
+    assert sum("ReusedExchange" not in line for line in done) == 2, done
