@@ -289,3 +289,18 @@ def test_phrases_move_their_notes_once(spark, monkeypatch):
     done = [line for line in _plan(got).split("Initial Plan")[0].splitlines() if "REPARTITION_BY_NUM" in line]
     # The notes before the fold and after it.
     assert sum("ReusedExchange" not in line for line in done) == 2, done
+
+
+def test_notes_stay_while_syllables_are_dealt(spark, monkeypatch):
+    from noteflow.operators import lyrics as Y
+
+    monkeypatch.setattr(adapters, "PART_NOTES", 500)
+    catalog.load()
+    t = adapters.Tables(spark, SF)
+    inventory = spark.createDataFrame([(f"s{i}",) for i in range(3)], "syllable string")
+    assert not re.search(r"score_id.*ENSURE_REQUIREMENTS", _plan(Y.auto_syllables(t.notes, inventory, F.lit(7))))
+    # Chunks of three, with a score that has no name: each goes through the whole inventory, as a note alone would.
+    notes = spark.createDataFrame([(s, i) for s in ("a", "b", None) for i in range(7)], "score_id string, note_idx int")
+    got = {(r.score_id, r.note_idx): r.syllable for r in Y.auto_syllables(notes, inventory, F.lit(7)).collect()}
+    place = Y.keyed_position(F.col("note_idx") % 3, 3, F.lit(7), F.floor(F.col("note_idx") / 3)).alias("at")
+    assert got == {(r.score_id, r.note_idx): f"s{r.at}" for r in notes.select("*", place).collect()} and len(got) == 21
